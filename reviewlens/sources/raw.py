@@ -67,7 +67,7 @@ def non_array_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .select(
             F.col("_metadata.file_path").alias("file_path"),
             F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-            F.substring(F.trim("value"), 1, 1).alias("first_char"),
+            F.substring(F.ltrim("value", F.lit(" \t\r\ufeff")), 1, 1).alias("first_char"),
         )
         .filter(F.col("first_char") != "")
     )

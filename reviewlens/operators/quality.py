@@ -86,3 +86,16 @@ def top_groups(classified: DataFrame, n: int = 8) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows")
     )
     return keep_top(counts, ["text_field"], [F.col("n_rows").desc(), F.col("group_label").asc()], n, "group_rank")
+
+
+def scorer_acceptance(scored: DataFrame, warn_at: float = 75.0) -> DataFrame:
+    """Confusion counts per expected label, the overall pass rate and its band (columns expected, sentiment_label)."""
+    labels = ["negative", "neutral", "positive"]
+    counts = scored.groupBy("expected").agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        *[F.count_if(F.col("sentiment_label") == k).alias(f"got_{k}") for k in labels],
+        F.count_if(F.col("sentiment_label") == F.col("expected")).alias("__passed"),
+    )
+    rate = counts.agg(share_pct(F.sum("__passed"), F.sum("n_pairs")).alias("pass_pct")).scalar()
+    band = F.when(F.col("pass_pct") >= 100.0, "pass").when(F.col("pass_pct") >= warn_at, "warning").otherwise("fail")
+    return counts.withColumn("pass_pct", rate).withColumn("band", band).drop("__passed")

@@ -42,10 +42,12 @@ LEAK = r"\.\s+[A-Z][^.!?]{10,120}[^.!?\s]$"
 
 
 def expand_sql(column: str) -> str:
-    expr = column
+    """All replacements in SQL. The word boundary there knows ASCII only, so every other letter stands between two
+    ASCII word marks while the replacements run."""
+    expr = rf"regexp_replace({column}, '([^\x00-\x7F])', 'Q0Z\1Q0Z', 'g')"
     for pattern, full in cfg.ABBREVIATIONS:
         expr = rf"regexp_replace({expr}, '\b{pattern}\b', '{full}', 'gi')"
-    return expr
+    return rf"regexp_replace({expr}, 'Q0Z([^\x00-\x7F])Q0Z', '\1', 'g')"
 
 
 @query("txt_clean", with_sql(V_DIRTY, query=f"SELECT doc_id, sha256(c) AS text_hash, length(c) AS n_chars FROM {CLEAN}"))
@@ -85,35 +87,23 @@ def txt_leak_rate(spark, sf):
     return dirty(spark, sf).groupBy("lang").agg(n.alias("n_rows"), share_pct(leaks, n).alias("leak_pct"))
 
 
-# The twin's word boundary knows ASCII only, so it takes the documents whose text is plain ASCII in both engines.
-@query(
-    "txt_expand_abbrev",
-    with_sql(
-        V_DIRTY,
-        query=rf"""
-SELECT doc_id, CASE WHEN regexp_matches(text, '[^\x00-\x7F]') THEN 'other' ELSE sha256({expand_sql("text")}) END AS text_hash
-FROM v_dirty""",
-    ),
-)
+@query("txt_expand_abbrev", with_sql(V_DIRTY, query=f"SELECT doc_id, sha256({expand_sql('text')}) AS text_hash FROM v_dirty"))
 def txt_expand_abbrev(spark, sf):
-    expanded = F.sha2(tx.expand_abbreviations(F.col("text")), 256)
-    plain = ~F.rlike("text", F.lit(r"[^\x00-\x7F]"))
-    return dirty(spark, sf).select("doc_id", F.when(plain, expanded).otherwise("other").alias("text_hash"))
+    return dirty(spark, sf).select("doc_id", F.sha2(tx.expand_abbreviations(F.col("text")), 256).alias("text_hash"))
 
 
 @query(
     "flt_min_chars",
     with_sql(
         V_DIRTY,
-        query=rf"""
+        query=f"""
 SELECT doc_id, lang, CASE WHEN length(e) >= {cfg.MIN_CHARS} THEN length(e) END AS n_chars
-FROM (SELECT doc_id, lang, {expand_sql("c")} AS e FROM {CLEAN}) WHERE NOT regexp_matches(coalesce(e, ''), '[^\x00-\x7F]')""",
+FROM (SELECT doc_id, lang, {expand_sql("c")} AS e FROM {CLEAN})""",
     ),
 )
 def flt_min_chars(spark, sf):
-    cleaned = dirty(spark, sf).withColumn("e", tx.expand_abbreviations(tx.clean(F.col("text"))))
-    kept = cleaned.withColumn("kept", tx.min_chars(F.col("e")))
-    return kept.filter(~F.rlike(F.coalesce("e", F.lit("")), F.lit(r"[^\x00-\x7F]"))).select(
+    kept = tx.min_chars(tx.expand_abbreviations(tx.clean(F.col("text"))))
+    return dirty(spark, sf).select("doc_id", "lang", kept.alias("kept")).select(
         "doc_id", "lang", F.length("kept").cast("bigint").alias("n_chars")
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reviewlens import config as cfg
 from reviewlens.functions import text as tx
 from reviewlens.operators.dedup import keep_top
+from reviewlens.session import ensure_checkpoint_dir
 
 DEFAULT_STOP = cfg.ENGLISH_STOP + cfg.PRODUCT_STOP + cfg.META_STOP
 
@@ -38,9 +39,13 @@ def ctfidf(
     """Weight of each term in each topic: (square root of) its share of the topic times log(1 + A / total).
 
     A is the mean number of term occurrences per topic, rounded down.
+
+    The counts are far smaller than the text and are read several times, so they are written to the checkpoint folder
+    once instead of going over the text again.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     fields = keys[:-1]
-    counts = term_counts(docs, keys, stop)
+    counts = term_counts(docs, keys, stop).checkpoint()
     vocab = vocabulary(counts, keys, min_df, max_df).select(*fields, "term", "term_total")
     kept = counts.join(vocab, [*fields, "term"])
     sizes = kept.groupBy(*keys).agg(F.sum("n").alias("topic_total"))

@@ -12,7 +12,7 @@ from reviewlens.session import configure
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["source", "conform", "scoring", "long_table", "mart", "text", "topic", "vector"]
+MODULES = ["source", "conform", "scoring", "long_table", "mart", "text", "topic", "vector", "stream"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -29,9 +29,16 @@ def get_present(item: Column | str, path: str) -> Column:
     return F.when(~F.is_variant_null(v), v)
 
 
+# The characters that count as white space.
+WHITE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(WHITE))
 
 
 def to_float(c: Column) -> Column:

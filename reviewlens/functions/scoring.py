@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from reviewlens import config as cfg
 from reviewlens.functions.numeric import round_half_up
-from reviewlens.functions.text import words
 
 # Ties go to the first of these: no evidence either way reads as neutral.
 LABELS = ["neutral", "negative", "positive"]
@@ -17,17 +16,17 @@ def pair(sentence: Column, aspect: Column) -> Column:
     return F.concat_ws(" [SEP] ", sentence, aspect)
 
 
-def lexicon_hits(text: Column, lexicon: dict[str, int], polarity: int) -> Column:
+def lexicon_hits(tokens: Column, lexicon: dict[str, int], polarity: int) -> Column:
     listed = sorted(token for token, sign in lexicon.items() if sign == polarity)
-    return F.size(F.filter(words(text), lambda w: w.isin(*listed)))
+    return F.size(F.filter(tokens, lambda w: w.isin(*listed)))
 
 
-def lexicon_probabilities(text: Column, lexicon: dict[str, int]) -> dict[str, Column]:
-    """Softmax over one plus the count of positive and negative tokens; neutral stays at one."""
+def lexicon_probabilities(n_pos: Column, n_neg: Column) -> dict[str, Column]:
+    """Softmax over one plus the number of positive and of negative tokens; neutral stays at one."""
     e = {
-        "positive": F.exp((lexicon_hits(text, lexicon, 1) + 1).cast("double")),
+        "positive": F.exp((n_pos + 1).cast("double")),
         "neutral": F.exp(F.lit(1.0)),
-        "negative": F.exp((lexicon_hits(text, lexicon, -1) + 1).cast("double")),
+        "negative": F.exp((n_neg + 1).cast("double")),
     }
     total = e["positive"] + e["neutral"] + e["negative"]
     return {k: v / total for k, v in e.items()}

@@ -1,4 +1,8 @@
-"""Text columns: cleaning, expansion, sentences, tokens."""
+"""Text columns: cleaning, expansion, sentences, tokens.
+
+Functions that use a costly argument more than once take it as a column the caller has already projected, so it is
+computed once per row.
+"""
 
 from __future__ import annotations
 
@@ -8,21 +12,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reviewlens import config as cfg
-from reviewlens.functions.coerce import strip
+from reviewlens.functions.coerce import WHITE, strip
 
-SPACE = r"(?U)\s+"
-TITLE_LEAK = r"\.(?U)\s+(?-U)[A-Z][^.!?]{10,120}[^.!?\s]$"
-BOUNDARY = r"(?<=[.!?])(?U)\s+(?-U)(?=[A-Z])"
+_W = "[" + WHITE + "]"
+# Runs of white space other than one plain space: fewer matches than every run, same result.
+SPACE = rf"(?:[{WHITE.replace(' ', '')}]{_W}*| {_W}+)"
+TITLE_LEAK = rf"\.{_W}+[A-Z][^.!?]{{10,120}}[^.!?{WHITE}]$"
+BOUNDARY = rf"(?<=[.!?]){_W}+(?=[A-Z])"
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
-def clean(c: Column) -> Column:
-    """Literal ``\\n`` and ``\\r`` escapes and runs of white space become one space; null tokens become null."""
-    c = F.regexp_replace(c, r"\\r\\n|\\n|\\r", " ")
-    c = F.trim(F.regexp_replace(c, SPACE, " "))
+def collapse(c: Column) -> Column:
+    """Literal ``\\n`` and ``\\r`` escapes and runs of white space become one space."""
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\\r\\n|\\n|\\r", " "), SPACE, " "))
+
+
+def null_tokens(c: Column) -> Column:
     return F.when(~c.isin(*cfg.NULL_TOKENS), c)
 
 
+def clean(c: Column) -> Column:
+    """Collapsed text; null tokens become null."""
+    return null_tokens(collapse(c))
+
+
 def has_title_leak(c: Column) -> Column:
     return F.rlike(strip(c), F.lit(TITLE_LEAK))
 
@@ -49,13 +62,6 @@ def min_chars(c: Column, n: int = cfg.MIN_CHARS) -> Column:
     return F.when(F.length(c) >= n, c)
 
 
-def topic_text(c: Column, field: Column) -> Column:
-    """The text that topics are built from: cleaned, de-titled (use_case only), expanded, long enough."""
-    cleaned = clean(c)
-    untitled = F.when(field == "use_case", strip_title(cleaned)).otherwise(cleaned)
-    return min_chars(expand_abbreviations(untitled))
-
-
 def aspect_term(label: Column) -> Column:
     c = F.regexp_replace(F.lower(label), r"[&,/\\|]+", " ")
     return F.coalesce(strip(F.regexp_replace(c, SPACE, " ")), F.lit("general"))
@@ -65,15 +71,16 @@ def nonblank(c: Column) -> Column:
     return c.isNotNull() & (strip(c) != "")
 
 
-def sentences(c: Column, min_len: int = cfg.MIN_SENTENCE_CHARS) -> Column:
-    """Sentences of at least ``min_len`` characters; if none is, the whole text when it is long enough."""
-    whole = strip(c)
-    parts = F.filter(
-        F.transform(F.split(whole, BOUNDARY), lambda s: strip(s)), lambda s: F.length(s) >= F.lit(min_len)
-    )
-    return F.when(F.size(parts) > 0, parts).otherwise(
-        F.filter(F.array(whole), lambda s: F.length(s) >= F.lit(min_len))
-    )
+def long_pieces(stripped: Column, min_len: int) -> Column:
+    """The sentences of a stripped text that have at least ``min_len`` characters."""
+    pieces = F.transform(F.split(stripped, BOUNDARY), lambda s: strip(s))
+    return F.filter(pieces, lambda s: F.length(s) >= F.lit(min_len))
+
+
+def pieces_or_whole(pieces: Column, stripped: Column, min_len: int) -> Column:
+    """The pieces; if there are none, the whole text when it is long enough."""
+    whole = F.when(F.length(stripped) >= min_len, F.array(stripped)).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(pieces) > 0, pieces).otherwise(whole)
 
 
 def words(c: Column) -> Column:
@@ -81,14 +88,15 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
 
 
-def terms(c: Column, stop: list[str]) -> Column:
-    """Single words without stop words, then the two-word phrases of what remains."""
-    kept = F.filter(words(c), lambda w: ~w.isin(*stop))
-    n = F.size(kept)
+def content_words(c: Column, stop: list[str]) -> Column:
+    return F.filter(words(c), lambda w: ~w.isin(*stop))
+
+
+def with_phrases(kept: Column) -> Column:
+    """The words and the two-word phrases they form."""
+    most = F.greatest(F.size(kept) - 1, F.lit(0))
     pairs = F.zip_with(
-        F.slice(kept, F.lit(1), F.greatest(n - 1, F.lit(0))),
-        F.slice(kept, F.lit(2), F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b),
+        F.slice(kept, F.lit(1), most), F.slice(kept, F.lit(2), most), lambda a, b: F.concat(a, F.lit(" "), b)
     )
     return F.concat(kept, pairs)
 

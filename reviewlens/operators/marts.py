@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from reviewlens.functions.numeric import exact_avg, exact_sum, round_half_up, share_pct
 from reviewlens.operators.dedup import keep_top
+from reviewlens.operators.explode import to_rows
 
 
 def with_share(df: DataFrame, value: str, out: str, digits: int = 1) -> DataFrame:
@@ -124,10 +125,8 @@ def switch_rate(reviews: DataFrame) -> DataFrame:
 
 def switch_origins(reviews: DataFrame, n: int = 10) -> DataFrame:
     """Most named prior products; a review that names several counts for each."""
-    origin = F.explode(F.split("switched_from_product", r" \| ")).alias("origin")
-    counts = reviews.filter(F.col("switched_from_product").isNotNull()).select(origin).groupBy("origin").agg(
-        F.count(F.lit(1)).alias("n_reviews")
-    )
+    names = reviews.select(F.split("switched_from_product", r" \| ").alias("__names"))
+    counts = to_rows(names, "__names", [], "origin").groupBy("origin").agg(F.count(F.lit(1)).alias("n_reviews"))
     return counts.orderBy(F.col("n_reviews").desc(), F.col("origin").asc()).limit(n)
 
 

@@ -13,6 +13,7 @@ from reviewlens import config as cfg
 from reviewlens.functions import scoring as sc
 from reviewlens.functions import text as tx
 from reviewlens.functions.numeric import exact_avg, round_half_up, share_pct
+from reviewlens.operators.explode import to_rows
 
 # -- rows and sentences -----------------------------------------------------------
 
@@ -38,11 +39,15 @@ SENTENCE_CARRY = [
 def split_sentences(df: DataFrame, min_len: int = cfg.MIN_SENTENCE_CHARS) -> DataFrame:
     """One row per sentence with its index and the number of sentences."""
     carry = [c for c in SENTENCE_CARRY if c in df.columns]
-    return (
-        df.select(*carry, tx.sentences(F.col("text"), min_len).alias("__parts"))
-        .select(*carry, F.size("__parts").alias("n_sentences"), F.posexplode("__parts").alias("sentence_idx", "sentence"))
-        .select(*carry, "sentence", "sentence_idx", "n_sentences")
+    whole = F.col("__whole")
+    parts = (
+        df.select(*carry, tx.strip(F.col("text")).alias("__whole"))
+        .select(*carry, "__whole", tx.long_pieces(whole, min_len).alias("__pieces"))
+        .select(*carry, tx.pieces_or_whole(F.col("__pieces"), whole, min_len).alias("__parts"))
+        .withColumn("n_sentences", F.size("__parts"))
     )
+    rows = to_rows(parts, "__parts", [*carry, "n_sentences"], "sentence", "sentence_idx")
+    return rows.select(*carry, "sentence", "sentence_idx", "n_sentences")
 
 
 def whole_texts(df: DataFrame) -> DataFrame:
@@ -81,16 +86,10 @@ def with_rating(df: DataFrame, probabilities: dict[str, Column]) -> DataFrame:
 def score_with_lexicon(df: DataFrame, lexicon: dict[str, int] | None = None) -> DataFrame:
     """Built-in scorer: column expressions only, so the rows never leave the JVM."""
     lexicon = lexicon or cfg.SENTIMENT_LEXICON
-    hits = df.withColumns(
-        {"__pos": sc.lexicon_hits(F.col("sentence"), lexicon, 1), "__neg": sc.lexicon_hits(F.col("sentence"), lexicon, -1)}
-    )
-    e = {
-        "positive": F.exp((F.col("__pos") + 1).cast("double")),
-        "neutral": F.exp(F.lit(1.0)),
-        "negative": F.exp((F.col("__neg") + 1).cast("double")),
-    }
-    total = e["positive"] + e["neutral"] + e["negative"]
-    return with_rating(hits, {k: v / total for k, v in e.items()}).drop("__pos", "__neg")
+    tokens = df.withColumn("__words", tx.words(F.col("sentence")))
+    hits = tokens.withColumns({f"__{n}": sc.lexicon_hits(F.col("__words"), lexicon, s) for n, s in (("pos", 1), ("neg", -1))})
+    probabilities = sc.lexicon_probabilities(F.col("__pos"), F.col("__neg"))
+    return with_rating(hits, probabilities).drop("__words", "__pos", "__neg")
 
 
 def infer(

@@ -8,14 +8,34 @@ from pyspark.sql import functions as F
 from reviewlens import config as cfg
 from reviewlens.functions import text as tx
 from reviewlens.operators.dedup import keep_top
+from reviewlens.operators.explode import to_rows
 from reviewlens.session import ensure_checkpoint_dir
 
 DEFAULT_STOP = cfg.ENGLISH_STOP + cfg.PRODUCT_STOP + cfg.META_STOP
 
 
+def with_terms(docs: DataFrame, stop: list[str], out: str = "terms") -> DataFrame:
+    """Add the one- and two-word terms of ``text`` without stop words."""
+    kept = docs.withColumn("__kept", tx.content_words(F.col("text"), stop))
+    return kept.withColumn(out, tx.with_phrases(F.col("__kept"))).drop("__kept")
+
+
+def topic_texts(docs: DataFrame, min_chars: int = cfg.MIN_CHARS) -> DataFrame:
+    """Replace ``text`` by the text that topics are built from: cleaned, without a leaked title (use_case only),
+    abbreviations expanded, null when too short."""
+    text, field = F.col("text"), F.col("text_field")
+    return (
+        docs.withColumn("text", tx.collapse(text))
+        .withColumn("text", tx.null_tokens(text))
+        .withColumn("text", F.when(field == "use_case", tx.strip_title(text)).otherwise(text))
+        .withColumn("text", tx.expand_abbreviations(text))
+        .withColumn("text", tx.min_chars(text, min_chars))
+    )
+
+
 def term_counts(docs: DataFrame, keys: list[str], stop: list[str] | None = None) -> DataFrame:
     """Occurrences of each one- and two-word term per topic. Each task adds up its own rows before the shuffle."""
-    terms = docs.select(*keys, F.explode(tx.terms(F.col("text"), stop or DEFAULT_STOP)).alias("term"))
+    terms = to_rows(with_terms(docs, stop or DEFAULT_STOP), "terms", keys, "term")
     return terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlens.functions import text as tx
+from reviewlens.operators.explode import to_rows
+from reviewlens.operators.topics import with_terms
 
 # Centroid tables up to this many rows travel to the tasks as one matrix; larger ones go in blocks of this size.
 CENTROID_BLOCK = 4096
@@ -31,12 +32,12 @@ def fit_embedding(docs: DataFrame, stop: list[str], dim: int = 256, text: str =
         IDF(inputCol="__tf", outputCol="__idf"),
         Normalizer(inputCol="__idf", outputCol="__vec"),
     ]
-    return Pipeline(stages=stages).fit(docs.select(tx.terms(F.col(text), stop).alias("__terms")))
+    return Pipeline(stages=stages).fit(with_terms(docs.select(F.col(text).alias("text")), stop, "__terms").select("__terms"))
 
 
 def embed(docs: DataFrame, model: PipelineModel, stop: list[str], text: str = "text") -> DataFrame:
     """Add ``embedding`` with a fitted default encoder."""
-    encoded = model.transform(docs.withColumn("__terms", tx.terms(F.col(text), stop)))
+    encoded = model.transform(with_terms(docs.withColumn("text", F.col(text)), stop, "__terms"))
     return encoded.withColumn("embedding", vector_to_array("__vec", "float32")).drop("__terms", "__tf", "__idf", "__vec")
 
 
@@ -210,7 +211,9 @@ def keyphrases(docs: DataFrame, candidates: DataFrame, stop: list[str], n: int =
     from reviewlens.operators.dedup import keep_top
 
     centroids = mean_vectors(docs, ["topic_id"]).select("topic_id", "centroid")
-    uses = docs.select("topic_id", "embedding", F.explode(F.array_distinct(tx.terms(F.col("text"), stop))).alias("term"))
+    terms = with_terms(docs.select("topic_id", "embedding", "text"), stop)
+    once = terms.withColumn("terms", F.array_distinct("terms"))
+    uses = to_rows(once, "terms", ["topic_id", "embedding"], "term")
     wanted = uses.join(candidates.select("topic_id", "term"), ["topic_id", "term"], "left_semi")
     means = mean_vectors(wanted, ["topic_id", "term"], out="term_vector").drop("n_vectors")
     pair = means.join(centroids, "topic_id")

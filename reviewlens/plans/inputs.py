@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # One row per review x field.
 REVIEWS_LONG = """
@@ -55,7 +56,13 @@ FROM conversations
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that comes in fewer splits than there are cores; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, F.col(df.columns[0])) if df.rdd.getNumPartitions() < cores else df
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str, *tables: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewlens import config as cfg
 from reviewlens.functions import text as tx
+from reviewlens.operators import topics as tp
 from reviewlens.plans import chain as ch
 from reviewlens.plans import inputs as i
 from reviewlens.plans.chain import pct
@@ -102,10 +103,8 @@ FROM (SELECT doc_id, lang, {expand_sql("c")} AS e FROM {CLEAN})""",
     ),
 )
 def flt_min_chars(spark, sf):
-    kept = tx.min_chars(tx.expand_abbreviations(tx.clean(F.col("text"))))
-    return dirty(spark, sf).select("doc_id", "lang", kept.alias("kept")).select(
-        "doc_id", "lang", F.length("kept").cast("bigint").alias("n_chars")
-    )
+    kept = tp.topic_texts(dirty(spark, sf).withColumn("text_field", F.lit("likes")))
+    return kept.select("doc_id", "lang", F.length("text").cast("bigint").alias("n_chars"))
 
 
 @query(

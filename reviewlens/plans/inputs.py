@@ -55,8 +55,12 @@ FROM conversations
 """
 
 
+TEXT_TABLES = ["documents", "conversations"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def spread(df: DataFrame) -> DataFrame:

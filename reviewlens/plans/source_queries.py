@@ -272,9 +272,9 @@ def snk_audit(spark, sf):
         F.lit(None).cast("string").alias("reasoning"),
     )
     tables.write_audit(grouping, path, "v1")
-    schema = "text_field string, topics array<struct<topic_id int, group_after string>>, run_version string"
-    return spark.read.schema(schema).json(path).select("run_version", "text_field", F.explode("topics").alias("t")).select(
-        "run_version", "text_field", "t.topic_id", "t.group_after"
+    schema = "text_field string, topic struct<topic_id: int, grouping: struct<after: string>>, run_version string"
+    return spark.read.schema(schema).json(path).select(
+        "run_version", "text_field", "topic.topic_id", F.col("topic.grouping.after").alias("group_after")
     )
 
 

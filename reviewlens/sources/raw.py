@@ -87,7 +87,8 @@ def read_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
     rows = raw.select("*", F.col("_metadata.file_path").alias("file_path"))
     item = F.to_variant_object(F.struct(*[F.col(k) for k in item_keys()]))
-    return with_snapshot(rows.select(F.col(CORRUPT), "file_path", item.alias("item")))
+    has_id = F.coalesce(*[F.col(lay.fields["review_id"]) for lay in cfg.LAYOUTS.values()]).isNotNull()
+    return with_snapshot(rows.select(F.col(CORRUPT), "file_path", item.alias("item"), has_id.alias("__has_id")))
 
 
 def read_raw(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
@@ -95,12 +96,14 @@ def read_raw(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, Da
     items = read_items(spark, paths)
     wrong_root = non_array_files(spark, paths)
     rejected = union_rejects(items, wrong_root)
-    good = items.filter(F.col(CORRUPT).isNull()).drop(CORRUPT).join(wrong_root, "file_path", "left_anti")
+    good = items.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "__has_id").join(wrong_root, "file_path", "left_anti")
     return good, rejected
 
 
 def union_rejects(items: DataFrame, wrong_root: DataFrame) -> DataFrame:
-    corrupt = items.filter(F.col(CORRUPT).isNotNull()).select("file_path").withColumn("reject_reason", F.lit("bad_json"))
+    # Spark does not answer queries on the corrupt-record column alone, so the reason looks at a data column too.
+    reason = F.when(F.col("__has_id"), "bad_item").otherwise("bad_json").alias("reject_reason")
+    corrupt = items.filter(F.col(CORRUPT).isNotNull()).select("file_path", reason)
     root = wrong_root.withColumn("reject_reason", F.lit("not_array"))
     return corrupt.join(wrong_root, "file_path", "left_anti").unionByName(root).distinct()
 

@@ -104,7 +104,8 @@ def write_normalized(unified: DataFrame, base: str) -> dict[str, str]:
     paths = {"parquet": f"{base}/parquet", "csv": f"{base}/csv"}
     rows = unified.withColumn("source", F.col("source_actor")).withColumn("product", F.col("product_id"))
     rows.write.mode("overwrite").partitionBy("source", "product").parquet(paths["parquet"])
-    write_csv(unified, paths["csv"])
+    # From the written rows, so the conforming work runs once.
+    write_csv(unified.sparkSession.read.parquet(paths["parquet"]).select(*unified.columns), paths["csv"])
     return paths
 
 
@@ -113,10 +114,11 @@ def write_enriched(meta: DataFrame, classified: DataFrame, base: str, parquet: b
     paths = {}
     for name, df in {"reviews_meta": meta, "reviews_text_classified": classified}.items():
         paths[f"{name}.csv"] = f"{base}/{name}.csv"
-        write_csv(df, paths[f"{name}.csv"])
         if parquet:
             paths[name] = f"{base}/{name}.parquet"
             df.write.mode("overwrite").parquet(paths[name])
+            df = df.sparkSession.read.parquet(paths[name])
+        write_csv(df, paths[f"{name}.csv"])
     return paths
 
 
@@ -132,17 +134,20 @@ def write_versioned(df: DataFrame, path: str, version: str) -> None:
 
 
 def write_audit(grouping: DataFrame, path: str, version: str) -> None:
-    """Nested audit records: per field, the topics with their enrichment and their groups before and after review.
+    """Nested audit records: each topic's enrichment, its group before and after review, and the reasons.
 
-    Expects text_field, topic_id, plain_description, group_before, group_after, reasoning. A field has at most a few
-    hundred topics.
+    Expects text_field, topic_id, plain_description, group_before, group_after, reasoning. One record per topic, so no
+    field is gathered in one place.
     """
-    record = F.struct("topic_id", "plain_description", "group_before", "group_after", "reasoning")
+    record = F.struct(
+        "topic_id",
+        F.struct("plain_description").alias("enrichment"),
+        F.struct(F.col("group_before").alias("before"), F.col("group_after").alias("after"), "reasoning").alias("grouping"),
+    )
     (
-        grouping.groupBy("text_field")
-        .agg(F.sort_array(F.collect_list(record)).alias("topics"))
-        .withColumn("run_version", F.lit(version))
+        grouping.select("text_field", record.alias("topic"), F.lit(version).alias("run_version"))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_version")
         .json(path)
     )

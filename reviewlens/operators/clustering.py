@@ -16,6 +16,7 @@ from pyspark.sql import Window
 
 from reviewlens import config as cfg
 from reviewlens.operators.dedup import keep_top
+from reviewlens.operators.lookup import join_small
 from reviewlens.operators.vectors import CENTROID_BLOCK, nearest
 from reviewlens.session import ensure_checkpoint_dir
 
@@ -109,7 +110,7 @@ def density_clusters(
     order = Window.orderBy(F.col("size").desc(), F.col("component"))
     numbered = sizes.filter(F.col("size") >= min_cluster_size).withColumn("topic_id", F.row_number().over(order) - 1)
     topics = members.join(numbered, "component").select("cell", "topic_id")
-    return assigned.select(key, "cell").join(topics, "cell", "left").select(
+    return join_small(assigned.select(key, "cell"), topics, ["cell"]).select(
         key, "cell", F.coalesce("topic_id", F.lit(-1)).alias("topic_id")
     )
 

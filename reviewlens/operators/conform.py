@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reviewlens import config as cfg
 from reviewlens.functions import coerce as co
 from reviewlens.operators.dedup import keep_first
+from reviewlens.operators.lookup import join_small
 
 
 def products(spark: SparkSession) -> DataFrame:
@@ -44,7 +45,7 @@ def map_fields(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def inject(df: DataFrame, dimension: DataFrame) -> DataFrame:
     """Add product id and name; unknown products stay with nulls."""
-    return df.join(dimension.select("product_key", "product_id", "product_name"), "product_key", "left")
+    return join_small(df, dimension.select("product_key", "product_id", "product_name"), ["product_key"])
 
 
 def unify(raw: DataFrame, dimension: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from reviewlens.functions.numeric import exact_avg, exact_sum, round_half_up, share_pct
 from reviewlens.operators.dedup import keep_top
 from reviewlens.operators.explode import to_rows
+from reviewlens.operators.lookup import join_small
 
 
 def with_share(df: DataFrame, value: str, out: str, digits: int = 1) -> DataFrame:
@@ -31,15 +32,16 @@ def valid_topics(info: DataFrame) -> DataFrame:
 
 def keep_valid(docs: DataFrame, info: DataFrame) -> DataFrame:
     keys = [k for k in ("text_field", "topic_id") if k in info.columns]
-    return docs.join(valid_topics(info).select(*keys), keys, "left_semi")
+    return join_small(docs, valid_topics(info).select(*keys), keys, "left_semi")
 
 
 def topic_distribution(docs: DataFrame, info: DataFrame) -> DataFrame:
     """Documents per product and valid topic with label and keywords, product ascending and largest first."""
     keys = [k for k in ("text_field", "topic_id") if k in info.columns]
-    # Counting first leaves product x topic rows for the joins instead of documents.
-    counts = keep_valid(topic_counts(docs, ["product_name", *keys]), info)
-    return counts.join(info.select(*keys, "label", "top_keywords"), keys, "left").orderBy(
+    # Counting first leaves product x topic rows for the join instead of documents.
+    counts = topic_counts(docs, ["product_name", *keys])
+    valid = valid_topics(info).select(*keys, "label", "top_keywords")
+    return join_small(counts, valid, keys, "inner").orderBy(
         F.col("product_name").asc(), F.col("doc_count").desc(), F.col("topic_id").asc()
     )
 

@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from reviewlens import config as cfg
 from reviewlens.operators.conform import reorder
 from reviewlens.operators.dedup import keep_best_topic
-
-# Lookups carry no broadcast hint: Spark broadcasts a side it knows to be under autoBroadcastJoinThreshold,
-# and sort-merges with adaptive skew splitting beyond that.
+from reviewlens.operators.lookup import join_small
 
 
 def wide_to_long(reviews: DataFrame, fields: list[str] = cfg.TEXT_FIELDS) -> DataFrame:
@@ -32,7 +30,7 @@ def join_doc_topics(long_df: DataFrame, doc_topics: DataFrame) -> DataFrame:
 def join_topic_info(df: DataFrame, info: DataFrame) -> DataFrame:
     """Add what is known of each topic, apart from its document count."""
     keys = [k for k in ("text_field", "topic_id") if k in info.columns]
-    return df.join(info.drop("doc_count"), keys, "left")
+    return join_small(df, info.drop("doc_count"), keys)
 
 
 def text_classified(reviews: DataFrame, doc_topics: DataFrame, info: DataFrame) -> DataFrame:
@@ -44,9 +42,8 @@ def text_classified(reviews: DataFrame, doc_topics: DataFrame, info: DataFrame)
 def apply_groups(df: DataFrame, mapping: DataFrame) -> DataFrame:
     """topic -> macro group and label: -1 is the outlier group, a topic without a group is unassigned."""
     keys = [k for k in ("text_field", "topic_id") if k in mapping.columns]
-    joined = df.drop("macro_group", "group_label").join(
-        mapping.select(*keys, F.col("macro_group").alias("__group"), F.col("group_label").alias("__label")), keys, "left"
-    )
+    named = mapping.select(*keys, F.col("macro_group").alias("__group"), F.col("group_label").alias("__label"))
+    joined = join_small(df.drop("macro_group", "group_label"), named, keys)
     outlier = F.col("topic_id") == -1
     return joined.withColumns(
         {

@@ -9,6 +9,7 @@ from reviewlens import config as cfg
 from reviewlens.functions import text as tx
 from reviewlens.operators.dedup import keep_top
 from reviewlens.operators.explode import to_rows
+from reviewlens.operators.lookup import join_small, small
 from reviewlens.session import ensure_checkpoint_dir
 
 DEFAULT_STOP = cfg.ENGLISH_STOP + cfg.PRODUCT_STOP + cfg.META_STOP
@@ -44,7 +45,7 @@ def vocabulary(counts: DataFrame, keys: list[str], min_df: int = cfg.MIN_DF, max
     fields = keys[:-1]
     topics = counts.select(*keys).distinct().groupBy(*fields).agg(F.count(F.lit(1)).alias("n_topics"))
     df = counts.groupBy(*fields, "term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("n").alias("term_total"))
-    bounded = df.join(topics, fields) if fields else df.withColumn("n_topics", topics.scalar())
+    bounded = join_small(df, topics, fields, "inner") if fields else df.withColumn("n_topics", topics.scalar())
     return bounded.filter((F.col("doc_freq") >= min_df) & (F.col("doc_freq") <= F.col("n_topics") * max_df))
 
 
@@ -60,18 +61,19 @@ def ctfidf(
 
     A is the mean number of term occurrences per topic, rounded down.
 
-    The counts are far smaller than the text and are read several times, so they are written to the checkpoint folder
-    once instead of going over the text again.
+    Term counts are far smaller than the text and are read several times, so they are written to the checkpoint folder
+    once, before and after the vocabulary cut, instead of going over the text again. Both are spread by term; nothing is
+    shuffled by topic or field, of which there are few.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     fields = keys[:-1]
     counts = term_counts(docs, keys, stop).checkpoint()
     vocab = vocabulary(counts, keys, min_df, max_df).select(*fields, "term", "term_total")
-    kept = counts.join(vocab, [*fields, "term"])
-    sizes = kept.groupBy(*keys).agg(F.sum("n").alias("topic_total"))
+    kept = counts.join(vocab, [*fields, "term"]).checkpoint()
+    sizes = small(kept.groupBy(*keys).agg(F.sum("n").alias("topic_total")))
     if fields:
         means = sizes.groupBy(*fields).agg(F.floor(F.avg("topic_total")).alias("mean_total"))
-        sized = kept.join(sizes, keys).join(means, fields)
+        sized = join_small(kept.join(sizes, keys), means, fields, "inner")
     else:
         mean = sizes.agg(F.floor(F.avg("topic_total"))).scalar()
         sized = kept.join(sizes, keys).withColumn("mean_total", mean)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlens.operators.explode import to_rows
+from reviewlens.operators.lookup import join_small
 from reviewlens.operators.topics import with_terms
 
 # Centroid tables up to this many rows travel to the tasks as one matrix; larger ones go in blocks of this size.
@@ -214,9 +215,9 @@ def keyphrases(docs: DataFrame, candidates: DataFrame, stop: list[str], n: int =
     terms = with_terms(docs.select("topic_id", "embedding", "text"), stop)
     once = terms.withColumn("terms", F.array_distinct("terms"))
     uses = to_rows(once, "terms", ["topic_id", "embedding"], "term")
-    wanted = uses.join(candidates.select("topic_id", "term"), ["topic_id", "term"], "left_semi")
+    wanted = join_small(uses, candidates.select("topic_id", "term"), ["topic_id", "term"], "left_semi")
     means = mean_vectors(wanted, ["topic_id", "term"], out="term_vector").drop("n_vectors")
-    pair = means.join(centroids, "topic_id")
+    pair = join_small(means, centroids, ["topic_id"], "inner")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
     cosine = dot("term_vector", "centroid") / F.sqrt(dot("term_vector", "term_vector") * dot("centroid", "centroid"))
     scored = pair.select("topic_id", "term", cosine.alias("similarity"))

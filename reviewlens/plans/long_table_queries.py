@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reviewlens.operators import dedup, marts, quality, reshape
+from reviewlens.operators.lookup import join_small
 from reviewlens.plans import chain as ch
 from reviewlens.plans import inputs as i
 from reviewlens.plans.chain import pct
@@ -86,7 +87,7 @@ LEFT JOIN v_infol t ON c.text_field = t.text_field AND c.topic_id = t.topic_id""
 def jn_dist_info(spark, sf):
     counts = marts.topic_counts(i.reviews_long(spark, sf), ["product_name", "text_field", "topic_id"])
     info = ch.topic_info(spark, sf).select("text_field", "topic_id", "label", "top_keywords")
-    return counts.join(info, ["text_field", "topic_id"], "left")
+    return join_small(counts, info, ["text_field", "topic_id"])
 
 
 @query(
@@ -103,6 +104,14 @@ def jn_valid_semi(spark, sf):
     return kept.select("review_id", "text_field", "topic_id")
 
 
+@query(
+    "flt_valid_topics",
+    with_sql(*INFO, query="SELECT text_field, topic_id, doc_count, label FROM v_infol WHERE topic_id <> -1 AND NOT is_product_cluster"),
+)
+def flt_valid_topics(spark, sf):
+    return marts.valid_topics(ch.topic_info(spark, sf)).select("text_field", "topic_id", "doc_count", "label")
+
+
 @query("agg_topic_dist", with_sql(*INFO, V_DIST, query="SELECT * FROM v_dist"))
 def agg_topic_dist(spark, sf):
     return marts.topic_distribution(i.reviews_long(spark, sf), ch.topic_info(spark, sf))

@@ -16,7 +16,6 @@ from pyspark.sql import Window
 
 from reviewlens import config as cfg
 from reviewlens.operators.dedup import keep_top
-from reviewlens.operators.lookup import join_small
 from reviewlens.operators.vectors import CENTROID_BLOCK, nearest
 from reviewlens.session import ensure_checkpoint_dir
 
@@ -51,24 +50,26 @@ def cell_graph(assigned: DataFrame, closeness: float) -> DataFrame:
     )
 
 
-def components(nodes: DataFrame, edges: DataFrame, node: str = "cell", max_rounds: int = 100) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, node: str = "cell", max_rounds: int = 100, few: bool = False) -> DataFrame:
     """(node, component): the smallest node id that can be reached, by passing labels along edges and following them.
 
-    Each round is written to the checkpoint folder, and the job ends when a round changes nothing.
+    Each round is written to the checkpoint folder, and the job ends when a round changes nothing. ``few`` is for callers
+    whose nodes are bounded by construction: the labels are then broadcast instead of shuffled.
     """
     ensure_checkpoint_dir(nodes.sparkSession)
+    light = F.broadcast if few else (lambda df: df)
     a, b = edges.columns[:2]
     both = edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
     both = both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct().checkpoint()
     labels = nodes.select(F.col(node).alias("id"), F.col(node).alias("label")).checkpoint()
     for _ in range(max_rounds):
-        heard = both.join(labels, both.src == labels.id).groupBy("dst").agg(F.min("label").alias("heard"))
-        passed = labels.join(heard, labels.id == heard.dst, "left").select(
+        heard = both.join(light(labels), both.src == labels.id).groupBy("dst").agg(F.min("label").alias("heard"))
+        passed = labels.join(light(heard), labels.id == heard.dst, "left").select(
             "id", F.col("label").alias("old"), F.least("label", F.coalesce("heard", "label")).alias("mid")
         )
         hop = labels.select(F.col("id").alias("mid"), F.col("label").alias("far"))
         labels = (
-            passed.join(hop, "mid", "left").select("id", "old", F.least("mid", F.coalesce("far", "mid")).alias("label")).checkpoint()
+            passed.join(light(hop), "mid", "left").select("id", "old", F.least("mid", F.coalesce("far", "mid")).alias("label")).checkpoint()
         )
         if labels.filter("label <> old").limit(1).count() == 0:
             return labels.select(F.col("id").alias(node), F.col("label").alias("component"))
@@ -92,25 +93,26 @@ def density_clusters(
     assigned = assign_cells(df.select(key, vec), choose_pivots(df, key, pivots, vec), vec).drop(vec).checkpoint()
     cells = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     links = cell_graph(assigned, closeness).filter(F.col("weight") >= min_link)
+    # From here on every table has at most one row per pivot, apart from the links, so those are the ones to broadcast.
     dense = cells.filter(F.col("n") >= min_points).select("cell")
-    strong = links.join(dense.withColumnRenamed("cell", "cell_a"), "cell_a", "left_semi").join(
-        dense.withColumnRenamed("cell", "cell_b"), "cell_b", "left_semi"
+    strong = links.join(F.broadcast(dense.withColumnRenamed("cell", "cell_a")), "cell_a", "left_semi").join(
+        F.broadcast(dense.withColumnRenamed("cell", "cell_b")), "cell_b", "left_semi"
     )
-    core = components(dense, strong.select("cell_a", "cell_b"))
+    core = components(dense, strong.select("cell_a", "cell_b"), few=True)
     one_way = links.select(F.col("cell_a").alias("cell"), F.col("cell_b").alias("other"), "weight").unionByName(
         links.select(F.col("cell_b").alias("cell"), F.col("cell_a").alias("other"), "weight")
     )
-    thin = one_way.join(core.select("cell"), "cell", "left_anti")
+    thin = one_way.join(F.broadcast(core.select("cell")), "cell", "left_anti")
     followers = keep_top(
-        thin.join(core.withColumnRenamed("cell", "other"), "other"), ["cell"], [F.col("weight").desc(), F.col("other")]
+        thin.join(F.broadcast(core.withColumnRenamed("cell", "other")), "other"), ["cell"], [F.col("weight").desc(), F.col("other")]
     )
     members = core.unionByName(followers.select("cell", "component"))
-    sizes = members.join(cells, "cell").groupBy("component").agg(F.sum("n").alias("size"))
+    sizes = members.join(F.broadcast(cells), "cell").groupBy("component").agg(F.sum("n").alias("size"))
     # At most ``pivots`` components, so one ordered window over them is small.
     order = Window.orderBy(F.col("size").desc(), F.col("component"))
     numbered = sizes.filter(F.col("size") >= min_cluster_size).withColumn("topic_id", F.row_number().over(order) - 1)
-    topics = members.join(numbered, "component").select("cell", "topic_id")
-    return join_small(assigned.select(key, "cell"), topics, ["cell"]).select(
+    topics = members.join(F.broadcast(numbered), "component").select("cell", "topic_id")
+    return assigned.select(key, "cell").join(F.broadcast(topics), "cell", "left").select(
         key, "cell", F.coalesce("topic_id", F.lit(-1)).alias("topic_id")
     )
 

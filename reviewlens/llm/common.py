@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reviewlens.session import scratch_path
 
@@ -57,7 +58,20 @@ def salted_lookup(df: DataFrame, lookup: DataFrame, on: list[str], spread_by: Co
     return left.join(right, cond, how).drop("__salt", "__r_salt", *[f"__r_{c}" for c in on])
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, max_bytes: int = 8 << 20) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, total: int, heavy_share: int = 1000) -> DataFrame:
+    """Left join of rows with their group when a few groups may hold most rows.
+
+    A group of more than ``total / heavy_share`` rows is heavy. There are fewer than ``heavy_share`` of those, whatever the
+    data, so they are broadcast; the others are joined by a shuffle in which no key has more rows than that.
+    """
+    bound = total // heavy_share
+    heavy = F.broadcast(groups.filter(F.col(size) > bound).limit(heavy_share))
+    some = rows.join(heavy, on, "inner")
+    others = rows.join(heavy.select(*on), on, "left_anti").join(groups.filter(F.col(size) <= bound), on, "left")
+    return some.unionByName(others)
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, max_bytes: int = 8 << 20) -> DataFrame:
     """Apply a function to Arrow batches, cut so that the texts of one call stay near ``max_bytes`` (one row at least)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +79,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
             start = 0
             while start < batch.num_rows:
                 rows = batch.num_rows - start
-                while rows > 1 and batch.slice(start, rows).get_total_buffer_size() and sliced_bytes(batch, start, rows) > max_bytes:
+                while rows > 1 and batch.slice(start, rows).nbytes > max_bytes:
                     rows = (rows + 1) // 2
                 yield fn(batch.slice(start, rows))
                 start += rows
@@ -73,10 +87,6 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return df.mapInArrow(run, schema)
 
 
-def sliced_bytes(batch: pa.RecordBatch, start: int, rows: int) -> int:
-    return batch.slice(start, rows).nbytes
-
-
 def rows_of(text: pa.Array) -> list[bytes]:
     """The texts as UTF-8 bytes; null becomes empty."""
     return [b"" if t is None else t for t in text.cast(pa.binary()).to_pylist()]

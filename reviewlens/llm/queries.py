@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlens.llm import hash_tree
+from reviewlens.llm import extendible, hash_tree, mixing
 from reviewlens.llm.common import table
 from reviewlens.session import configure
 
@@ -29,3 +29,53 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No twin: DuckDB has no CRC-32. Tests compare with a brute-force version."""
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op4_extendible_hash_dedup",
+    """
+    WITH n AS (
+      SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+      FROM documents),
+    g AS (
+      SELECT doc_id, norm, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+             row_number() OVER (PARTITION BY norm, doc_id) AS again
+      FROM n)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AND again = 1 AS kept, sha256(norm) AS text_sha256 FROM g
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible.flag_copies(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op5_mix_sources",
+    """
+    WITH d AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+    w AS (
+      SELECT source, source_size,
+             CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+      FROM s),
+    o AS (SELECT *, 2::DOUBLE * source_size / weight AS stop FROM w),
+    l AS (
+      SELECT *, (1.5::DOUBLE * (SELECT sum(source_size) FROM s)::BIGINT
+                 - 2::DOUBLE * coalesce(sum(source_size) OVER (ORDER BY stop, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
+                / (sum(weight) OVER (ORDER BY stop, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS level
+      FROM o),
+    t AS (
+      SELECT source, source_size, least(2::DOUBLE * source_size, coalesce(weight * (
+               SELECT level FROM l WHERE level <= stop ORDER BY stop, source NULLS LAST LIMIT 1), 2::DOUBLE * source_size)) AS target
+      FROM l),
+    r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
+    c AS (
+      SELECT d.doc_id, d.size, r.source_size, r.target,
+             (floor(r.rate) + CASE WHEN (('0x' || substr(md5('mix-1/' || coalesce(d.doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE)
+                  / 281474976710656::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END)::BIGINT AS copies
+      FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+    SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM c
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sizes(table(spark, sf_dir, "documents"))

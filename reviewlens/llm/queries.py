@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewlens.llm import extendible, hash_tree, mixing
-from reviewlens.llm.common import table
-from reviewlens.session import configure
+from reviewlens.llm import chat, extendible, hash_tree, mixing, rollup
+from reviewlens.llm.common import table, word_count
+from reviewlens.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,7 +53,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op5_mix_sources",
     """
     WITH d AS (
-      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
     s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
     w AS (
       SELECT source, source_size,
@@ -79,3 +80,58 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
+
+
+CONTROL = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op7_chat_events",
+    """
+    WITH t AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) v(a, b, c, d)),
+    e AS (
+      SELECT *, length(replace(replace(replace(replace(replace(role, chr(92), chr(92) || chr(92)), '<s>', '<_s>'), '</s>', '<_/s>'),
+                  '[INST]', '[_INST]'), '[/INST]', '[_/INST]')) AS role_chars,
+             length(replace(replace(replace(replace(replace(text, chr(92), chr(92) || chr(92)), '<s>', '<_s>'), '</s>', '<_/s>'),
+                  '[INST]', '[_INST]'), '[/INST]', '[_/INST]')) AS text_chars
+      FROM t)
+    SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(role_chars + text_chars + 20)::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], turns.schema)
+    return chat.digest(chat.format_conversations(turns.unionByName(more)))
+
+
+@query(
+    "op10_token_rollups",
+    """
+    SELECT d.source, d.lang, 'words-1' AS tokenizer, count(*) AS n_docs,
+           sum(len(regexp_extract_all(coalesce(d.text, ''), '[^\\x20\\x09-\\x0D]+')))::BIGINT AS n_tokens
+    FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)
+    GROUP BY d.source, d.lang
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted with an estimate from their length, revised to exact counts, and the toxic ones deleted.
+    Each batch arrives twice, as after a retry; the second time changes nothing."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = rollup.TokenLedger(spark, scratch_path(spark, "token-ledger"))
+    base = docs.select("doc_id", "source", "lang", F.lit("words-1").alias("tokenizer"), "text", "n_chars")
+    first = base.select(F.lit("insert").alias("op"), "doc_id", "source", "lang", "tokenizer", F.floor(F.col("n_chars") / 6).alias("tokens"))
+    exact = base.select(F.lit("revise").alias("op"), "doc_id", "source", "lang", "tokenizer", word_count(F.col("text")).alias("tokens"))
+    none = F.lit(None).cast("string")
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1")
+    drops = toxic.select(F.lit("delete").alias("op"), "doc_id", none.alias("source"), none.alias("lang"), none.alias("tokenizer"), F.lit(0).alias("tokens"))
+    for batch, events in (("1-load", first), ("2-exact", exact), ("3-takedown", drops)):
+        ledger.commit(batch, events)
+        ledger.commit(batch, events)
+    return ledger.totals()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, extendible, hash_tree, mixing, rollup
+from reviewlens.llm import chat, extendible, hash_tree, mixing, quality, rollup
 from reviewlens.llm.common import table, word_count
 from reviewlens.session import configure, scratch_path
 
@@ -32,6 +32,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op2_adaptive_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: tests compare with a brute-force version."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op4_extendible_hash_dedup",
     """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, extendible, hash_tree, mixing, quality, rollup
+from reviewlens.llm import chat, compression, extendible, hash_tree, mixing, quality, rollup
 from reviewlens.llm.common import table, word_count
 from reviewlens.session import configure, scratch_path
 
@@ -38,6 +38,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@query("op3_compression_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: a trained model. Tests hold it to an accuracy on held-out labels."""
+    return compression.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(
     "op4_extendible_hash_dedup",
     """

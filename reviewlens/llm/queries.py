@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, compression, extendible, hash_tree, mixing, quality, rollup
+from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, mixing, quality, rollup
 from reviewlens.llm.common import table, word_count
 from reviewlens.session import configure, scratch_path
 
@@ -147,3 +147,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         ledger.commit(batch, events)
         ledger.commit(batch, events)
     return ledger.totals()
+
+
+#: The tokenizer file; every machine has the package installed.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query("op9_backtracking_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: tests compare with the tokenizers library."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, mixing, quality, rollup
+from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, main_text, mixing, near_dup, quality, rollup
 from reviewlens.llm.common import table, word_count
 from reviewlens.session import configure, scratch_path
 
@@ -163,3 +163,15 @@ def tokenizer_path() -> str:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No twin: tests compare with the tokenizers library."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op6_dom_main_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: a trained model. Tests compare with the known articles of fixtures and of the pages' landmarks."""
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op8_hyperminhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: tests compare with the exact links of all pairs on small tables."""
+    return near_dup.components_of(table(spark, sf_dir, "documents"))

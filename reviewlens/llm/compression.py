@@ -194,14 +194,18 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
 def scored(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """Columns ``keep`` of docs with the score of the whole text and whether it is predicted to be good."""
 
+    read = [F.col(f"`{c}`") for c in keep]
+    if "text" not in keep:
+        read.append(F.col("text"))
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        p = probability(features(rows_of(batch.column(batch.num_columns - 1)), model), model)
-        cols = [*batch.columns[:-1], pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))]
+        p = probability(features(rows_of(batch.column(batch.schema.get_field_index("text"))), model), model)
+        cols = [*batch.columns[: len(keep)], pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))]
         return pa.RecordBatch.from_arrays(cols, [*keep, *names])
 
     kinds = [T.StructField(c, docs.schema[c].dataType) for c in keep]
     kinds += [T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())]
-    return map_batches(docs.select(*keep, F.col("text").alias("__text")), run, T.StructType(kinds))
+    return map_batches(docs.select(*read), run, T.StructType(kinds))
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -217,6 +221,5 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are predicted to be good, with their own columns and nothing else."""
     names = ("__zq_score", "__zq_predicted")
-    rest = [c for c in docs.columns if c != "text"]
-    out = scored(docs, train(docs, labels, **options), [*rest, "text"], names)
+    out = scored(docs, train(docs, labels, **options), docs.columns, names)
     return out.filter(F.col(names[1]) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -300,12 +300,12 @@ too under until up very was we were what when where which while who whom why wil
 SENTIMENT_LEXICON = {
     **dict.fromkeys(
         "accurate best clear comprehensive easy efficient excellent fantastic fast flexible friendly great helpful "
-        "intuitive love perfectly powerful quick reliable robust saves simple smooth streamlined useful".split(),
+        "intuitive love perfectly powerful quick reliable robust simple smooth streamlined useful".split(),
         1,
     ),
     **dict.fromkeys(
         "bad broken bug bugs clunky complex confusing costly difficult error errors expensive fails frustrating hard "
-        "lacks limited missing nightmare no poor slow terrible weeks went worst".split(),
+        "lacks limited missing nightmare no poor slow terrible worst".split(),
         -1,
     ),
 }

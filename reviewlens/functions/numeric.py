@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(c: Column, digits: int) -> Column:
-    """Half-up rounding in plain IEEE steps, so other engines reproduce it bit for bit."""
+    """Half-up rounding in plain IEEE steps, so other engines reproduce it bit for bit; NaN becomes null."""
     scale = float(10**digits)
-    return F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    x = c.cast("double")
+    return F.floor(F.when(~F.isnan(x), x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
 
 
 def exact_sum(c: Column, digits: int) -> Column:

@@ -22,11 +22,15 @@ def lexicon_hits(tokens: Column, lexicon: dict[str, int], polarity: int) -> Colu
 
 
 def lexicon_probabilities(n_pos: Column, n_neg: Column) -> dict[str, Column]:
-    """Softmax over one plus the number of positive and of negative tokens; neutral stays at one."""
+    """Softmax over one plus the number of positive and of negative tokens; neutral stays at one.
+
+    The largest exponent is taken off first, so a text with any number of hits stays within range.
+    """
+    most = F.greatest(n_pos, n_neg, F.lit(0))
     e = {
-        "positive": F.exp((n_pos + 1).cast("double")),
-        "neutral": F.exp(F.lit(1.0)),
-        "negative": F.exp((n_neg + 1).cast("double")),
+        "positive": F.exp((n_pos - most).cast("double")),
+        "neutral": F.exp((-most).cast("double")),
+        "negative": F.exp((n_neg - most).cast("double")),
     }
     total = e["positive"] + e["neutral"] + e["negative"]
     return {k: v / total for k, v in e.items()}

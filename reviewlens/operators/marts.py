@@ -46,18 +46,26 @@ def topic_distribution(docs: DataFrame, info: DataFrame) -> DataFrame:
     )
 
 
+def _field(df: DataFrame) -> list[str]:
+    """The text field is a key wherever a table has it: topic ids of different fields are different topics."""
+    return ["text_field"] if "text_field" in df.columns else []
+
+
 def dominant_topic(dist: DataFrame) -> DataFrame:
-    """Largest topic of each product."""
-    return keep_top(dist, ["product_name"], [F.col("doc_count").desc(), F.col("topic_id").asc()])
+    """Largest topic of each product and field."""
+    return keep_top(dist, ["product_name", *_field(dist)], [F.col("doc_count").desc(), F.col("topic_id").asc()])
 
 
 def largest_topics(info: DataFrame, n: int = 15) -> DataFrame:
-    return valid_topics(info).orderBy(F.col("doc_count").desc(), F.col("topic_id").asc()).limit(n)
+    """The ``n`` largest valid topics of each field, or of the whole table where it has no fields."""
+    order = [F.col("doc_count").desc(), F.col("topic_id").asc()]
+    valid = valid_topics(info)
+    return keep_top(valid, _field(info), order, n) if _field(info) else valid.orderBy(*order).limit(n)
 
 
 def largest_topics_per_group(info: DataFrame, n: int = 3) -> DataFrame:
     return keep_top(
-        info.filter(~F.col("is_noise")), ["macro_group"], [F.col("doc_count").desc(), F.col("topic_id").asc()], n, "topic_rank"
+        info.filter(~F.col("is_noise")), [*_field(info), "macro_group"], [F.col("doc_count").desc(), F.col("topic_id").asc()], n, "topic_rank"
     )
 
 
@@ -77,26 +85,36 @@ def topic_overview(info: DataFrame) -> DataFrame:
 
 
 def macro_summary(groups: DataFrame, info: DataFrame, keyword_chars: int = 40, top: int = 3) -> DataFrame:
-    """Per declared group: topics, documents and the keywords of its largest topics; empty groups stay in."""
+    """Per field and declared group: topics, documents, share of the field and the keywords of its largest topics.
+
+    Empty groups stay in, other columns of ``groups`` (such as the description) are carried along, and the groups with most
+    documents come first. ``groups`` without a field column apply to every field of ``info``.
+    """
+    keys = [*_field(info), "macro_group"]
+    if _field(info) and "text_field" not in groups.columns:
+        groups = groups.crossJoin(F.broadcast(info.select("text_field").distinct()))  # a row per field: there are a handful
     clean = info.filter(~F.col("is_noise") & (F.col("topic_id") != -1))
     ranked = clean.withColumn(
         "__rank",
-        F.row_number().over(Window.partitionBy("macro_group").orderBy(F.col("doc_count").desc(), F.col("topic_id").asc())),
+        F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("doc_count").desc(), F.col("topic_id").asc())),
     )
     slot = lambda i: F.max(F.when(F.col("__rank") == i, F.substring("top_keywords", 1, keyword_chars)))
-    per_group = ranked.groupBy("macro_group").agg(
+    per_group = ranked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_topics"),
         F.sum("doc_count").alias("total_docs"),
         F.concat_ws(" | ", *[slot(i) for i in range(1, top + 1)]).alias("top_keywords"),
     )
-    summary = groups.join(per_group, "macro_group", "left").withColumns(
+    summary = groups.join(per_group, keys, "left").withColumns(
         {
             "n_topics": F.coalesce("n_topics", F.lit(0)),
             "total_docs": F.coalesce("total_docs", F.lit(0)),
             "top_keywords": F.coalesce("top_keywords", F.lit("")),
         }
     )
-    return with_share(summary, "total_docs", "pct_docs")
+    # One row per group: the window over a field's groups is small.
+    whole = F.sum("total_docs").over(Window.partitionBy(*(_field(info) or [F.lit(0)])))
+    shared = summary.withColumn("pct_docs", share_pct(F.col("total_docs"), whole))
+    return shared.orderBy(*_field(info), F.col("total_docs").desc(), "macro_group")
 
 
 def outlier_rate(before_after: DataFrame) -> DataFrame:
@@ -217,7 +235,7 @@ def pain_points(classified: DataFrame, n: int = 10) -> DataFrame:
 def incentive_bias(reviews: DataFrame, rating: str = "overall_rating") -> DataFrame:
     """Mean rating of incentivised against organic reviews per product."""
     r, inc = F.col(rating), F.coalesce(F.col("is_incentivized"), F.lit(False))
-    paid, organic = F.avg(F.when(inc, r)), F.avg(F.when(~inc, r))
+    paid, organic = exact_avg(F.when(inc, r), 2), exact_avg(F.when(~inc, r), 2)
     return reviews.groupBy("product_name").agg(
         F.count_if(inc).alias("n_incentivized"),
         F.count_if(~inc).alias("n_organic"),

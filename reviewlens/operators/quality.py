@@ -88,6 +88,14 @@ def top_groups(classified: DataFrame, n: int = 8) -> DataFrame:
     return keep_top(counts, ["text_field"], [F.col("n_rows").desc(), F.col("group_label").asc()], n, "group_rank")
 
 
+def coverage_report(classified: DataFrame, n: int = 8) -> DataFrame:
+    """``coverage`` with the largest groups of each field, as one line of text."""
+    part = F.concat(F.col("group_label"), F.lit(": "), F.col("n_rows").cast("string"))
+    lines = top_groups(classified, n).groupBy("text_field").agg(F.sort_array(F.collect_list(F.struct("group_rank", part.alias("part")))).alias("__parts"))
+    report = lines.select("text_field", F.array_join(F.transform("__parts", lambda p: p["part"]), " | ").alias("top_groups"))
+    return coverage(classified).join(report, "text_field", "left")
+
+
 def scorer_acceptance(scored: DataFrame, warn_at: float = 75.0) -> DataFrame:
     """Confusion counts per expected label, the overall pass rate and its band (columns expected, sentiment_label)."""
     labels = ["negative", "neutral", "positive"]

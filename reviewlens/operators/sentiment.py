@@ -177,7 +177,7 @@ def to_product_aspect(reviews: DataFrame) -> DataFrame:
         F.count("review_id").alias("n_reviews"),
         F.sum("n_sentences").alias("n_sentences"),
         *[share_pct(F.count_if(label == k), n).alias(f"pct_{k}") for k in ("positive", "neutral", "negative")],
-        round_half_up(F.avg("overall_rating"), 2).alias("avg_overall_rating"),
+        round_half_up(exact_avg(F.col("overall_rating"), 2), 2).alias("avg_overall_rating"),
         share_pct(F.sum(flag), F.count(flag)).alias("pct_incentivized"),
     )
 

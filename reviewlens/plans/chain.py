@@ -102,9 +102,10 @@ SELECT * EXCLUDE (p, n, u, words),
   {r("p * 5.0::DOUBLE + u * 3.0::DOUBLE + n * 1.0::DOUBLE", 3)} AS absa_rating,
   {r("p", 4)} AS positive, {r("u", 4)} AS neutral, {r("n", 4)} AS negative
 FROM (SELECT * EXCLUDE (ep, en, eu), ep / (ep + eu + en) AS p, en / (ep + eu + en) AS n, eu / (ep + eu + en) AS u FROM (
-  SELECT *, exp((len(list_filter(words, lambda w: w IN ({pos}))) + 1)::DOUBLE) AS ep,
-    exp((len(list_filter(words, lambda w: w IN ({neg}))) + 1)::DOUBLE) AS en, exp(1.0::DOUBLE) AS eu
-  FROM (SELECT *, regexp_extract_all(lower(sentence), '[\p{{L}}\p{{N}}_]{{2,}}') AS words FROM {source})))"""
+  SELECT * EXCLUDE (lp, ln, m), exp((lp - m)::DOUBLE) AS ep, exp((ln - m)::DOUBLE) AS en, exp((0 - m)::DOUBLE) AS eu
+  FROM (SELECT *, greatest(lp, ln, 0) AS m FROM (
+    SELECT *, len(list_filter(words, lambda w: w IN ({pos}))) AS lp, len(list_filter(words, lambda w: w IN ({neg}))) AS ln
+    FROM (SELECT *, regexp_extract_all(lower(sentence), '[\p{{L}}\p{{N}}_]{{2,}}') AS words FROM {source})))))"""
 
 
 V_SCORED = ("v_scored", scored_rows("v_sent"))
@@ -149,7 +150,7 @@ SELECT product_name, macro_group, group_label, aspect_term, text_field, {r(exact
   {pct("count(*) FILTER (sentiment_label = 'positive')", "count(*)")} AS pct_positive,
   {pct("count(*) FILTER (sentiment_label = 'neutral')", "count(*)")} AS pct_neutral,
   {pct("count(*) FILTER (sentiment_label = 'negative')", "count(*)")} AS pct_negative,
-  {r("avg(overall_rating)", 2)} AS avg_overall_rating,
+  {r(exact_avg("overall_rating", 2), 2)} AS avg_overall_rating,
   {pct("sum(CAST(is_incentivized AS INT))", "count(is_incentivized)")} AS pct_incentivized
 FROM v_review GROUP BY ALL""",
 )

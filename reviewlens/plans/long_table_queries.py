@@ -123,14 +123,12 @@ def agg_topic_dist(spark, sf):
         *INFO, V_DIST,
         query="""
 SELECT * EXCLUDE rn FROM (
-  SELECT *, row_number() OVER (PARTITION BY product_name ORDER BY doc_count DESC, topic_id) AS rn FROM v_dist
-  WHERE text_field = 'likes') WHERE rn = 1""",
+  SELECT *, row_number() OVER (PARTITION BY product_name, text_field ORDER BY doc_count DESC, topic_id) AS rn FROM v_dist)
+WHERE rn = 1""",
     ),
 )
 def win_dominant_topic(spark, sf):
-    likes = i.reviews_long(spark, sf).filter("text_field = 'likes'")
-    info = ch.topic_info(spark, sf)
-    return marts.dominant_topic(marts.topic_distribution(likes, info))
+    return marts.dominant_topic(marts.topic_distribution(i.reviews_long(spark, sf), ch.topic_info(spark, sf)))
 
 
 @query(
@@ -139,22 +137,24 @@ def win_dominant_topic(spark, sf):
         i.V_MAP,
         *INFO,
         query="""
-SELECT 'overall' AS scope, topic_id, doc_count FROM (SELECT * FROM v_infol WHERE text_field = 'likes' AND topic_id <> -1
-  AND NOT is_product_cluster ORDER BY doc_count DESC, topic_id LIMIT 5)
+SELECT 'overall' AS scope, text_field, topic_id, doc_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY text_field ORDER BY doc_count DESC, topic_id) AS rn FROM v_infol
+  WHERE topic_id <> -1 AND NOT is_product_cluster) WHERE rn <= 15
 UNION ALL
-SELECT macro_group, topic_id, doc_count FROM (
-  SELECT m.macro_group, t.topic_id, t.doc_count,
-    row_number() OVER (PARTITION BY m.macro_group ORDER BY t.doc_count DESC, t.topic_id) AS rn
-  FROM v_infol t JOIN v_map m ON t.topic_id = m.topic_id WHERE t.text_field = 'likes' AND m.macro_group <> 'noise') WHERE rn <= 3
+SELECT macro_group, text_field, topic_id, doc_count FROM (
+  SELECT m.macro_group, t.text_field, t.topic_id, t.doc_count,
+    row_number() OVER (PARTITION BY t.text_field, m.macro_group ORDER BY t.doc_count DESC, t.topic_id) AS rn
+  FROM v_infol t JOIN v_map m ON t.topic_id = m.topic_id WHERE m.macro_group <> 'noise') WHERE rn <= 3
 UNION ALL
-SELECT 'unassigned', topic_id, doc_count FROM v_infol WHERE text_field = 'likes' AND topic_id = 10""",
+SELECT 'unassigned', text_field, topic_id, doc_count FROM v_infol WHERE topic_id = 10""",
     ),
 )
 def win_topk_topics(spark, sf):
-    info = ch.topic_info(spark, sf).filter("text_field = 'likes'")
+    info = ch.topic_info(spark, sf)
     grouped = reshape.with_noise_flag(reshape.apply_groups(info, i.topic_map(spark)))
-    overall = marts.largest_topics(info, 5).select(F.lit("overall").alias("scope"), "topic_id", "doc_count")
-    per_group = marts.largest_topics_per_group(grouped, 3).select(F.col("macro_group").alias("scope"), "topic_id", "doc_count")
+    cols = ["text_field", "topic_id", "doc_count"]
+    overall = marts.largest_topics(info).select(F.lit("overall").alias("scope"), *cols)
+    per_group = marts.largest_topics_per_group(grouped).select(F.col("macro_group").alias("scope"), *cols)
     return overall.unionByName(per_group)
 
 
@@ -317,14 +317,19 @@ def agg_field_breakdown(spark, sf):
 SELECT text_field, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(topic_id) AS BIGINT) AS n_topic,
   {pct("count(topic_id)", "count(*)")} AS pct_topic, CAST(count(macro_group) AS BIGINT) AS n_group,
   {pct("count(macro_group)", "count(*)")} AS pct_group, min(review_date) AS first_date, max(review_date) AS last_date,
-  CAST(count(DISTINCT product_name) AS BIGINT) AS n_products
-FROM v_cov GROUP BY text_field""",
+  CAST(count(DISTINCT product_name) AS BIGINT) AS n_products, any_value(top_groups) AS top_groups
+FROM v_cov LEFT JOIN (
+  SELECT text_field, string_agg(concat(group_label, ': ', CAST(n AS VARCHAR)), ' | ' ORDER BY rn) AS top_groups FROM (
+    SELECT *, row_number() OVER (PARTITION BY text_field ORDER BY n DESC, group_label) AS rn
+    FROM (SELECT text_field, group_label, count(*) AS n FROM v_cov WHERE group_label IS NOT NULL GROUP BY ALL)) WHERE rn <= 8
+  GROUP BY text_field) USING (text_field)
+GROUP BY text_field""",
     ),
 )
 def agg_coverage(spark, sf):
     rows = reshape.join_doc_topics(ch.classified(spark, sf).drop("topic_id"), i.doc_topics(spark, sf))
     group = F.when(F.col("topic_id").isNotNull(), F.col("macro_group"))
-    return quality.coverage(rows.withColumn("macro_group", group))
+    return quality.coverage_report(rows.withColumn("macro_group", group))
 
 
 @query(

@@ -61,10 +61,10 @@ def agg_switch_origins(spark, sf):
         query=f"""
 SELECT product_name, CAST(count(*) FILTER (is_incentivized) AS BIGINT) AS n_incentivized,
   CAST(count(*) FILTER (NOT is_incentivized) AS BIGINT) AS n_organic,
-  {r("avg(overall_rating) FILTER (is_incentivized)", 2)} AS avg_incentivized,
-  {r("avg(overall_rating) FILTER (NOT is_incentivized)", 2)} AS avg_organic,
-  {r("avg(overall_rating) FILTER (is_incentivized) - avg(overall_rating) FILTER (NOT is_incentivized)", 2)} AS bias
-FROM v_long GROUP BY product_name""",
+  {r(ch.exact_avg("paid", 2), 2)} AS avg_incentivized, {r(ch.exact_avg("organic", 2), 2)} AS avg_organic,
+  {r(ch.exact_avg("paid", 2) + " - " + ch.exact_avg("organic", 2), 2)} AS bias
+FROM (SELECT *, CASE WHEN is_incentivized THEN overall_rating END AS paid, CASE WHEN NOT is_incentivized THEN overall_rating END AS organic
+  FROM v_long) GROUP BY product_name""",
     ),
 )
 def agg_incentive_bias(spark, sf):
@@ -145,21 +145,22 @@ def agg_topic_overview(spark, sf):
 
 GROUPS_SQL = "SELECT DISTINCT macro_group, group_label FROM v_map WHERE macro_group <> 'noise' UNION ALL SELECT 'unused', 'Unused'"
 SUMMARY_SQL = f"""
-SELECT macro_group, group_label, n_topics, total_docs, top_keywords,
-  {pct("total_docs", "sum(total_docs) OVER ()")} AS pct_docs
-FROM (SELECT g.macro_group, g.group_label, CAST(count(t.topic_id) AS BIGINT) AS n_topics,
+SELECT text_field, macro_group, group_label, group_description, n_topics, total_docs, top_keywords,
+  {pct("total_docs", "sum(total_docs) OVER (PARTITION BY text_field)")} AS pct_docs
+FROM (SELECT g.text_field, g.macro_group, g.group_label, concat('about ', g.macro_group) AS group_description, CAST(count(t.topic_id) AS BIGINT) AS n_topics,
     CAST(coalesce(sum(t.doc_count), 0) AS BIGINT) AS total_docs,
     coalesce(string_agg(substr(t.top_keywords, 1, 40), ' | ' ORDER BY t.rn) FILTER (t.rn <= 3), '') AS top_keywords
-  FROM ({GROUPS_SQL}) g LEFT JOIN (
-    SELECT m.macro_group, t.topic_id, t.doc_count, t.top_keywords,
-      row_number() OVER (PARTITION BY m.macro_group ORDER BY t.doc_count DESC, t.topic_id) AS rn
-    FROM v_infol t JOIN v_map m ON t.topic_id = m.topic_id WHERE t.text_field = 'dislikes') t
-  ON g.macro_group = t.macro_group GROUP BY g.macro_group, g.group_label)"""
+  FROM (SELECT * FROM ({GROUPS_SQL}), (SELECT DISTINCT text_field FROM v_infol)) g LEFT JOIN (
+    SELECT t.text_field, m.macro_group, t.topic_id, t.doc_count, t.top_keywords,
+      row_number() OVER (PARTITION BY t.text_field, m.macro_group ORDER BY t.doc_count DESC, t.topic_id) AS rn
+    FROM v_infol t JOIN v_map m ON t.topic_id = m.topic_id) t
+  ON g.macro_group = t.macro_group AND g.text_field = t.text_field GROUP BY g.text_field, g.macro_group, g.group_label)"""
 
 
 def macro_inputs(spark, sf):
     groups = spark.sql(GROUPS_SQL.replace("FROM v_map", "FROM {v_map}"), v_map=i.topic_map(spark))
-    info = ch.topic_info(spark, sf).filter("text_field = 'dislikes'")
+    groups = groups.withColumn("group_description", F.concat(F.lit("about "), "macro_group"))
+    info = ch.topic_info(spark, sf)
     return groups, reshape.with_noise_flag(reshape.apply_groups(info, i.topic_map(spark))).drop("group_label")
 
 
@@ -168,6 +169,6 @@ def agg_macro_summary(spark, sf):
     return marts.macro_summary(*macro_inputs(spark, sf)).drop("pct_docs")
 
 
-@query("agg_share", with_sql(i.V_MAP, *INFO, query=f"SELECT macro_group, total_docs, pct_docs FROM ({SUMMARY_SQL})"))
+@query("agg_share", with_sql(i.V_MAP, *INFO, query=f"SELECT text_field, macro_group, total_docs, pct_docs FROM ({SUMMARY_SQL})"))
 def agg_share(spark, sf):
-    return marts.macro_summary(*macro_inputs(spark, sf)).select("macro_group", "total_docs", "pct_docs")
+    return marts.macro_summary(*macro_inputs(spark, sf)).select("text_field", "macro_group", "total_docs", "pct_docs")

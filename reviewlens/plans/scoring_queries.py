@@ -120,8 +120,9 @@ def lexicon_model(lexicon: dict[str, int]):
         def score(pdf: pd.DataFrame) -> pd.DataFrame:
             tokens = [word.findall(s.lower()) for s in pdf["sentence"]]
             count = lambda sign: np.array([sum(lexicon.get(t) == sign for t in ts) for ts in tokens], "float64")
-            pos, neg = np.exp(count(1) + 1), np.exp(count(-1) + 1)
-            neu = np.exp(np.ones(len(pdf)))
+            n_pos, n_neg = count(1), count(-1)
+            most = np.maximum(np.maximum(n_pos, n_neg), 0)
+            pos, neg, neu = np.exp(n_pos - most), np.exp(n_neg - most), np.exp(-most)
             total = pos + neu + neg
             return pd.DataFrame({"positive": pos / total, "neutral": neu / total, "negative": neg / total})
 
@@ -297,16 +298,17 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
         V_PAIRS,
         ("v_got", ch.scored_rows("v_pairs")),
         query=f"""
+SELECT *, CASE WHEN pass_pct >= 100 THEN 'pass' WHEN pass_pct >= 75 THEN 'warning' ELSE 'fail' END AS band FROM (
 SELECT expected, CAST(count(*) AS BIGINT) AS n_pairs,
   CAST(count(*) FILTER (sentiment_label = 'negative') AS BIGINT) AS got_negative,
   CAST(count(*) FILTER (sentiment_label = 'neutral') AS BIGINT) AS got_neutral,
   CAST(count(*) FILTER (sentiment_label = 'positive') AS BIGINT) AS got_positive,
   {pct("(SELECT count(*) FROM v_got WHERE sentiment_label = expected)", "(SELECT count(*) FROM v_got)")} AS pass_pct
-FROM v_got GROUP BY expected""",
+FROM v_got GROUP BY expected)""",
     ),
 )
 def qa_scorer_accept(spark, sf):
     from reviewlens.operators.quality import scorer_acceptance
 
     pairs = i._sql(spark, sf, V_PAIRS[1], "documents", "labels")
-    return scorer_acceptance(ch.lexicon_score(pairs)).drop("band")
+    return scorer_acceptance(ch.lexicon_score(pairs))

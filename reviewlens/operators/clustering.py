@@ -1,17 +1,22 @@
 """Density clustering at scale: micro-clusters around pivots, linked where documents lie between them.
 
-All rows go to their nearest pivot, so the work per row is fixed and no pair of rows is ever formed. A cell of the pivots
-with enough rows is dense. A row almost as close to a second pivot as to its first links the two cells, and the number of
-such rows is the weight of the link. Dense cells joined by strong links make a cluster; rows in thin cells follow the
-strongest link or become noise. Everything after the assignment works on tables of at most ``pivots`` cells.
+All rows go to their nearest pivot, so the work per row is fixed and no pair of rows is ever formed. A row almost as close
+to a second pivot as to its first links the two cells, and the number of such rows is the weight of the link. Both are
+judged relative to the data: a cell is dense against the mean cell, and a link is strong against the smaller of its two
+cells. So ten times as many rows of the same kind give the same clusters; how many can be told apart depends on the number
+of pivots alone. Dense cells joined by strong links make a cluster; rows in thin cells follow the strongest link or become
+noise. Everything after the assignment works on tables of at most ``pivots`` cells.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from reviewlens import config as cfg
@@ -86,15 +91,29 @@ def density_clusters(
     closeness: float = 0.75,
     min_link: int = 2,
     min_cluster_size: int = cfg.MIN_TOPIC_SIZE,
+    least_tenths: int = 1,
 ) -> DataFrame:
-    """(key, cell, topic_id): clusters numbered from 0 by falling size, noise is -1."""
+    """(key, cell, topic_id): clusters numbered from 0 by falling size, noise is -1.
+
+    A cell is dense with ``min_points`` rows and ``least_tenths`` tenths of the mean cell; a link is strong with ``min_link``
+    rows and as many tenths of its smaller cell. Comparisons are in whole numbers. Rows without a vector are noise.
+    """
+    no_vector = df.filter(F.col(vec).isNull()).select(key, F.lit(None).cast("bigint").alias("cell"), F.lit(-1).alias("topic_id"))
+    df = df.filter(F.col(vec).isNotNull())
     ensure_checkpoint_dir(df.sparkSession)
     # The assignment is the one costly pass and feeds four small tables, so it is written once.
     assigned = assign_cells(df.select(key, vec), choose_pivots(df, key, pivots, vec), vec).drop(vec).checkpoint()
     cells = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    links = cell_graph(assigned, closeness).filter(F.col("weight") >= min_link)
+    sides = [cells.select(F.col("cell").alias(f"cell_{s}"), F.col("n").alias(f"n_{s}")) for s in "ab"]
+    sized = cell_graph(assigned, closeness).join(F.broadcast(sides[0]), "cell_a").join(F.broadcast(sides[1]), "cell_b")
+    links = sized.filter((F.col("weight") >= min_link) & (10 * F.col("weight") >= least_tenths * F.least("n_a", "n_b"))).drop("n_a", "n_b")
     # From here on every table has at most one row per pivot, apart from the links, so those are the ones to broadcast.
-    dense = cells.filter(F.col("n") >= min_points).select("cell")
+    whole = cells.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("cells"))
+    dense = (
+        cells.crossJoin(F.broadcast(whole))  # one row
+        .filter((F.col("n") >= min_points) & (10 * F.col("n") * F.col("cells") >= least_tenths * F.col("rows")))
+        .select("cell")
+    )
     strong = links.join(F.broadcast(dense.withColumnRenamed("cell", "cell_a")), "cell_a", "left_semi").join(
         F.broadcast(dense.withColumnRenamed("cell", "cell_b")), "cell_b", "left_semi"
     )
@@ -112,10 +131,42 @@ def density_clusters(
     order = Window.orderBy(F.col("size").desc(), F.col("component"))
     numbered = sizes.filter(F.col("size") >= min_cluster_size).withColumn("topic_id", F.row_number().over(order) - 1)
     topics = members.join(F.broadcast(numbered), "component").select("cell", "topic_id")
-    return assigned.select(key, "cell").join(F.broadcast(topics), "cell", "left").select(
-        key, "cell", F.coalesce("topic_id", F.lit(-1)).alias("topic_id")
+    placed = assigned.select(key, "cell").join(F.broadcast(topics), "cell", "left").select(
+        key, F.col("cell").cast("bigint").alias("cell"), F.coalesce("topic_id", F.lit(-1)).alias("topic_id")
+    )
+    return placed.unionByName(no_vector)
+
+
+def neighbours(df: DataFrame, key: str, k: int = 5, vec: str = "embedding", pivots: int = 256, block: int = 1024) -> DataFrame:
+    """(key, neighbour, rank, distance): the ``k`` nearest rows that share a cell, cells being cut into blocks of about ``block``.
+
+    Each row is compared with the rows of its own block only, so a vector that fills a third of the table costs ``block``
+    comparisons a row. Which block a row of a crowded cell gets is a hash of its key. Distances are rounded to nine decimals
+    before they are ranked; ties go to the lower key.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.filter(F.col(vec).isNotNull()).select(key, vec)
+    assigned = assign_cells(rows, choose_pivots(rows, key, pivots, vec), vec).select(key, vec, "cell").checkpoint()
+    parts = assigned.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))  # a row for each pivot
+    code = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 12), 16, 10).cast("bigint")
+    dealt = assigned.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(code, F.col("parts")))
+    schema = T.StructType(
+        [df.schema[key], T.StructField("neighbour", df.schema[key].dataType), T.StructField("rank", T.IntegerType()), T.StructField("distance", T.DoubleType())]
     )
 
+    def near(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(key)
+        x, ids = np.stack(pdf[vec].to_numpy()).astype("float64"), pdf[key].to_numpy()
+        out = []
+        for at in range(len(x)):
+            d = np.floor(np.sqrt(((x - x[at]) ** 2).sum(axis=1)) * 1e9 + 0.5) / 1e9
+            d[at] = np.inf
+            best = np.argsort(d, kind="stable")[: min(k, len(x) - 1)]
+            out.append(pd.DataFrame({key: ids[at], "neighbour": ids[best], "rank": np.arange(1, len(best) + 1, dtype="int32"), "distance": d[best]}))
+        return pd.concat(out)
+
+    return dealt.groupBy("cell", "part").applyInPandas(near, schema)
+
 
 def kmeans_topics(df: DataFrame, k: int, vec: str = "embedding", seed: int = 42, min_size: int = 1) -> DataFrame:
     """The same table shape from bisecting k-means on cosine distance: every row gets a topic."""

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from reviewlens.operators.explode import to_rows
 from reviewlens.operators.lookup import join_small
 from reviewlens.operators.topics import with_terms
+from reviewlens.session import ensure_checkpoint_dir
 
 # Centroid tables up to this many rows travel to the tasks as one matrix; larger ones go in blocks of this size.
 CENTROID_BLOCK = 4096
@@ -76,9 +77,9 @@ def mean_vectors(df: DataFrame, keys: list[str], vec: str = "embedding", out: st
 
 def _blocks(centroids: DataFrame, cid: str, cvec: str, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Centroids as (ids, matrix), in one piece when there are at most ``block``, else piece by piece."""
-    slim = centroids.select(F.col(cid).cast("bigint").alias("id"), F.col(cvec).cast("array<double>").alias("vec"))
-    n = slim.limit(block + 1).count()
-    pieces = 1 if n <= block else -(-2 * slim.count() // block)
+    ensure_checkpoint_dir(centroids.sparkSession)
+    slim = centroids.select(F.col(cid).cast("bigint").alias("id"), F.col(cvec).cast("array<double>").alias("vec")).checkpoint()
+    pieces = max(1, -(-slim.count() // block))
     for p in range(pieces):
         part = slim if pieces == 1 else slim.filter(F.pmod(F.xxhash64("id"), F.lit(pieces)) == p)
         rows = sorted(part.collect(), key=lambda row: row.id)
@@ -102,19 +103,21 @@ def _scan(ids: np.ndarray, matrix: np.ndarray, k: int, metric: str):
     squares = (matrix**2).sum(axis=1)
 
     def score(vectors: pd.Series) -> pd.DataFrame:
-        x = np.stack(vectors.to_numpy()).astype("float64")
-        if metric == "cosine":
-            s = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)) @ matrix.T
-        else:
-            s = -np.sqrt(np.maximum((x**2).sum(axis=1)[:, None] - 2 * (x @ matrix.T) + squares[None, :], 0.0))
-        best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        return pd.DataFrame(
-            {
-                "ids": list(ids[best]),
-                "scores": list(np.take_along_axis(s, best, axis=1)),
-                "exp_sum": np.exp(s).sum(axis=1),
-            }
-        )
+        # Slices bound the score matrix; rows without a vector get no centroid.
+        out_ids, out_scores, sums = [None] * len(vectors), [None] * len(vectors), np.full(len(vectors), np.nan)
+        there = np.flatnonzero(vectors.notna().to_numpy())
+        for start in range(0, len(there), 1000):
+            rows = there[start : start + 1000]
+            x = np.stack(vectors.iloc[rows].to_numpy()).astype("float64")
+            if metric == "cosine":
+                s = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)) @ matrix.T
+            else:
+                s = -np.sqrt(np.maximum((x**2).sum(axis=1)[:, None] - 2 * (x @ matrix.T) + squares[None, :], 0.0))
+            best = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            for r, i, v in zip(rows, ids[best], np.take_along_axis(s, best, axis=1)):
+                out_ids[r], out_scores[r] = i, v
+            sums[rows] = np.exp(s).sum(axis=1)
+        return pd.DataFrame({"ids": out_ids, "scores": out_scores, "exp_sum": sums})
 
     return F.pandas_udf(score, _SCAN)
 
@@ -128,10 +131,12 @@ def nearest(
     k: int = 1,
     metric: str = "cosine",
     block: int = CENTROID_BLOCK,
+    empty_ok: bool = False,
 ) -> DataFrame:
     """Add ``near`` (the ``k`` best centroids as {score, id}, best first, ties to the lower id) and ``exp_sum``.
 
     Score is cosine similarity, or minus the Euclidean distance. Rows are never moved; each batch is one matrix product.
+    ``near`` is null for rows without a vector and, with ``empty_ok``, where there are no centroids.
     """
     out = None
     for ids, matrix in _blocks(centroids, cid, cvec, block):
@@ -148,7 +153,10 @@ def nearest(
             df = df.withColumns({"near": both, "exp_sum": F.col("exp_sum") + total}).drop("__scan")
         out = df
     if out is None:
-        raise ValueError("no centroids")
+        if not empty_ok:
+            raise ValueError("no centroids")
+        none = F.lit(None).cast("array<struct<score:double,id:bigint>>")
+        return df.withColumns({"near": none, "exp_sum": F.lit(None).cast("double")})
     return out
 
 
@@ -162,12 +170,19 @@ def soft_probability(df: DataFrame, centroids: DataFrame, cid: str = "topic_id",
 
 
 def reassign_outliers(df: DataFrame, vec: str = "embedding") -> DataFrame:
-    """Move outlier documents to the topic with the nearest centroid; ``topic_before`` keeps the old id."""
+    """Move outlier documents to the topic with the nearest centroid; ``topic_before`` keeps the old id.
+
+    Every row comes out once: rows without a topic keep none, outliers without a vector stay outliers, and where there is no
+    other topic nothing moves.
+    """
     df = df.withColumn("topic_before", F.col("topic_id"))
-    settled, outliers = df.filter("topic_id <> -1"), df.filter("topic_id = -1")
-    centroids = mean_vectors(settled, ["topic_id"], vec)
-    moved = nearest(outliers, centroids, "topic_id", vec=vec).withColumn("topic_id", F.col("near")[0]["id"].cast("int"))
-    return settled.unionByName(moved.drop("near", "exp_sum")).withColumn("was_outlier", F.col("topic_before") == -1)
+    centroids = mean_vectors(df.filter(F.col("topic_id").isNotNull() & (F.col("topic_id") != -1) & F.col(vec).isNotNull()), ["topic_id"], vec)
+    # Only outliers have a vector to look up, so other rows cost nothing in the scan.
+    asked = df.withColumn("__asked", F.when(F.col("topic_id") == -1, F.col(vec)))
+    found = nearest(asked, centroids, "topic_id", vec="__asked", empty_ok=True)
+    best = F.get("near", F.lit(0))["id"].cast("int")
+    moved = found.withColumn("topic_id", F.when(F.col("topic_id") == -1, F.coalesce(best, F.lit(-1))).otherwise(F.col("topic_id")))
+    return moved.drop("near", "exp_sum", "__asked").withColumn("was_outlier", F.coalesce(F.col("topic_before") == -1, F.lit(False)))
 
 
 def merge_topics(centroids: DataFrame, max_topics: int, keys: list[str] | None = None, limit: int = 10_000) -> DataFrame:

@@ -50,19 +50,24 @@ SELECT least(cell, cell2) AS cell_a, greatest(cell, cell2) AS cell_b, CAST(count
 FROM v_near WHERE d1 >= d2 * {CLOSENESS}::DOUBLE GROUP BY ALL""",
 )
 GRAPH = (V_VEC, V_PIVOT, V_NEAR, V_LINK)
-V_EDGE = (
-    "v_edge",
+V_CELL = ("v_cell", "SELECT cell, count(*) AS n FROM v_near GROUP BY cell")
+V_STRONG = (
+    "v_strong",
     f"""
-SELECT cell_a AS a, cell_b AS b, weight FROM v_link WHERE weight >= {MIN_LINK}
-UNION ALL SELECT cell_b, cell_a, weight FROM v_link WHERE weight >= {MIN_LINK}""",
+SELECT l.* FROM v_link l JOIN v_cell a ON l.cell_a = a.cell JOIN v_cell b ON l.cell_b = b.cell
+WHERE weight >= {MIN_LINK} AND 10 * weight >= least(a.n, b.n)""",
+)
+V_EDGE = ("v_edge", "SELECT cell_a AS a, cell_b AS b, weight FROM v_strong UNION ALL SELECT cell_b, cell_a, weight FROM v_strong")
+V_DENSE = (
+    "v_dense",
+    f"SELECT cell FROM v_cell WHERE n >= {MIN_POINTS} AND 10 * n * (SELECT count(*) FROM v_cell) >= (SELECT sum(n) FROM v_cell)",
 )
-V_CELL = ("v_cell", "SELECT cell, count(*) AS n FROM v_near GROUP BY cell")
 V_REACH = (
     "v_reach",
     f"""
-SELECT cell, cell AS seen FROM v_cell WHERE n >= {MIN_POINTS}
+SELECT cell, cell AS seen FROM v_dense
 UNION
-SELECT r.cell, e.b FROM v_reach r JOIN v_edge e ON r.seen = e.a JOIN v_cell c ON c.cell = e.b WHERE c.n >= {MIN_POINTS}""",
+SELECT r.cell, e.b FROM v_reach r JOIN v_edge e ON r.seen = e.a JOIN v_dense c ON c.cell = e.b""",
 )
 V_CORE = ("v_core", "SELECT cell, min(seen) AS component FROM v_reach GROUP BY cell")
 V_MEMBER = (
@@ -80,7 +85,7 @@ SELECT component, CAST(row_number() OVER (ORDER BY size DESC, component) - 1 AS
 FROM (SELECT component, sum(n) AS size FROM v_member JOIN v_cell USING (cell) GROUP BY component) WHERE size >= {MIN_SIZE}""",
 )
 CLUSTER_SQL = with_sql(
-    *GRAPH, V_EDGE, V_CELL, V_REACH, V_CORE, V_MEMBER, V_NUMBER,
+    *GRAPH, V_CELL, V_STRONG, V_EDGE, V_DENSE, V_REACH, V_CORE, V_MEMBER, V_NUMBER,
     query="""
 SELECT v.vec_id, v.cell, coalesce(k.topic_id, -1) AS topic_id
 FROM v_near v LEFT JOIN v_member m ON v.cell = m.cell LEFT JOIN v_number k ON m.component = k.component""",
@@ -97,11 +102,28 @@ SELECT {key}, list(m ORDER BY d) AS c FROM (SELECT {key}, d, avg(v) AS m FROM {D
 # -- queries --------------------------------------------------------------------------------
 
 
-@query("tm_knn", with_sql(*GRAPH, query="SELECT * FROM v_link"))
+KNN, KNN_BLOCK = 5, 64
+
+
+@query(
+    "tm_knn",
+    with_sql(
+        *GRAPH[:3],
+        ("v_size", f"SELECT cell, CAST(ceil(count(*) / {KNN_BLOCK}.0::DOUBLE) AS BIGINT) AS parts FROM v_near GROUP BY cell"),
+        ("v_place", """
+SELECT n.vec_id, v.x, n.cell, ('0x' || substr(md5(CAST(n.vec_id AS VARCHAR)), 1, 12))::BIGINT % s.parts AS part
+FROM v_near n JOIN v_vec v USING (vec_id) JOIN v_size s USING (cell)"""),
+        ("v_pair", f"""
+SELECT a.vec_id, b.vec_id AS neighbour, {r("list_distance(a.x, b.x)", 9)} AS distance
+FROM v_place a JOIN v_place b ON a.cell = b.cell AND a.part = b.part AND a.vec_id <> b.vec_id"""),
+        query=f"""
+SELECT vec_id, neighbour, CAST(rn AS INTEGER) AS rank, {r("distance", 6)} AS distance
+FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS rn FROM v_pair) WHERE rn <= {KNN}""",
+    ),
+)
 def tm_knn(spark, sf):
-    vectors = embeddings(spark, sf)
-    assigned = cl.assign_cells(vectors.select("vec_id", "embedding"), cl.choose_pivots(vectors, "vec_id", PIVOTS))
-    return cl.cell_graph(assigned, CLOSENESS)
+    near = cl.neighbours(embeddings(spark, sf), "vec_id", KNN, pivots=PIVOTS, block=KNN_BLOCK)
+    return near.withColumn("distance", round_half_up(F.col("distance"), 6))
 
 
 @query("tm_cluster_density", CLUSTER_SQL)

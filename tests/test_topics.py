@@ -211,3 +211,32 @@ def test_failing_enricher_falls_back(spark):
     assert down[0].plain_description == "Keywords: ap, gl" and down[0].candidate_categories == ["other"] and not down[0].is_noise
     up = {r.topic_id: r for r in gr.enrich(topic_table(spark), factory=working).collect()}
     assert up[0].plain_description == "about ap, gl" and up[1].plain_description == "Unlabelled topic"
+
+
+@pytest.mark.parametrize("per_group", [60, 600, 6000])
+def test_clusters_do_not_depend_on_the_number_of_rows(spark, per_group):
+    df = blobs(spark, [per_group] * 8, dim=32)
+    out = cl.density_clusters(df, "vec_id", pivots=64).join(df, "vec_id").collect()
+    assert len({r.topic_id for r in out} - {-1}) == 8 and purity(out) >= 0.95
+    assert sum(r.topic_id == -1 for r in out) <= 0.05 * len(out)
+
+
+def test_rows_without_vector_or_topic_stay(spark):
+    rows = [(1, [1.0, 0.0], 0), (2, [0.0, 1.0], 1), (3, [0.9, 0.1], -1), (4, None, -1), (5, [0.5, 0.5], None), (6, None, None)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, topic_id int")
+    got = {r.vec_id: (r.topic_id, r.was_outlier) for r in ve.reassign_outliers(df).collect()}
+    assert got == {1: (0, False), 2: (1, False), 3: (0, True), 4: (-1, True), 5: (None, False), 6: (None, False)}
+    alone = {r.vec_id: r.topic_id for r in ve.reassign_outliers(df.filter("topic_id = -1")).collect()}
+    assert alone == {3: -1, 4: -1}
+    assert {r.topic_id for r in cl.density_clusters(df.select("vec_id", "embedding"), "vec_id", pivots=2).filter("vec_id IN (4, 6)").collect()} == {-1}
+
+
+def test_neighbours_against_all_pairs_and_in_blocks(spark):
+    df = blobs(spark, [40, 40], copies=30)
+    x = {r.vec_id: np.array(r.embedding) for r in df.collect()}
+    got = cl.neighbours(df, "vec_id", k=3, pivots=1, block=10_000).collect()
+    for key in x:
+        d = sorted((round(float(np.linalg.norm(x[key] - v)), 9), i) for i, v in x.items() if i != key)[:3]
+        assert [(r.neighbour, r.rank) for r in sorted((r for r in got if r.vec_id == key), key=lambda r: r.rank)] == [(i, n) for n, (_, i) in enumerate(d, 1)]
+    cut = cl.neighbours(df, "vec_id", k=3, pivots=2, block=16).groupBy("vec_id").count().collect()
+    assert len(cut) >= 100 and max(r["count"] for r in cut) == 3

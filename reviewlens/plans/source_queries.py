@@ -15,6 +15,7 @@ from reviewlens.session import scratch_path
 from reviewlens.sources import raw, tables
 
 ITEMS_PER_FILE = 500
+ODD_NAME = 'rating, 1 to "5"'
 
 
 def land_snapshots(spark, sf):
@@ -54,13 +55,24 @@ def _items_summary(items):
     with_sql(
         i_raw := ri.V_RAW,
         query="""
-SELECT t.run_ts, source_actor, product_key, native_id, reviewer, score, CAST(length(text) AS INTEGER) AS n_chars
-FROM v_raw, (VALUES ('20240501_000000', 2), ('20240601_000000', 1)) AS t(run_ts, step) WHERE doc_id % t.step = 0""",
+SELECT t.run_ts, source_actor, product_key, native_id, reviewer, score, CAST(length(text) AS INTEGER) AS n_chars,
+  CAST(NULL AS VARCHAR) AS reject_reason
+FROM v_raw, (VALUES ('20240501_000000', 2), ('20240601_000000', 1)) AS t(run_ts, step) WHERE doc_id % t.step = 0
+UNION ALL
+SELECT '20240701_000000', 'jupri', k, NULL, NULL, NULL, NULL, reason FROM (VALUES ('cut', 'bad_json'), ('object', 'not_array')) AS v(k, reason)
+""",
     ),
 )
 def src_raw_json(spark, sf):
-    good, _ = raw.read_raw(spark, land_snapshots(spark, sf))
-    return _items_summary(good)
+    """Items of all snapshots, and the two files among them that cannot be used."""
+    path = land_snapshots(spark, sf)
+    bad = [("cut", '[{"id": "1"}, {"id": "cut'), ("object", '{"id": "1"}')]
+    for key, value in bad:
+        folder = f"{path}/source_actor=jupri/product_key={key}/run_ts=20240701_000000"
+        spark.createDataFrame([(value,)], "value string").coalesce(1).write.text(folder)
+    good, rejected = raw.read_raw(spark, path)
+    rejects = raw.with_snapshot(rejected).select("run_ts", "source_actor", "product_key", "reject_reason")
+    return _items_summary(good).unionByName(rejects, allowMissingColumns=True)
 
 
 @query(
@@ -129,8 +141,10 @@ def src_union_csv(spark, sf):
     own = {"likes": "overall_rating", "dislikes": "reviewer_company_size", "use_case": "topic_id"}
     for field, column in own.items():
         part = long_df.filter(F.col("text_field") == field).select("review_id", "product_name", "text_field", column)
+        if field == "likes":  # a name with a comma and quotes in it
+            part = part.withColumnRenamed("overall_rating", ODD_NAME)
         tables.write_csv(part, f"{base}/{field}")
-    return tables.union_csv(spark, base, skip="all_products_normalized")
+    return tables.union_csv(spark, base, skip="all_products_normalized").withColumnRenamed(ODD_NAME, "overall_rating")
 
 
 RUN_LOG_SQL = (

@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from reviewlens import config as cfg
-
-CORRUPT = "_corrupt_record"
 # <source>/<product>_<yyyymmdd_hhmmss>.json, or the same three as partition folders.
 FILE_NAME = r"([^/=]+)/([^/=]+)_(\d{8}_\d{6})\.json$"
 FOLDERS = r"/source_actor=([^/]+)/product_key=([^/]+)/run_ts=([^/]+)/[^/]+$"
@@ -48,83 +44,48 @@ def latest_files(files: DataFrame) -> DataFrame:
     return files.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") == 1).drop("__rank")
 
 
-def item_keys() -> list[str]:
-    """Top-level keys that any source layout reads."""
-    paths = [p for lay in cfg.LAYOUTS.values() for p in [*lay.fields.values(), *lay.bonus]]
-    return sorted({p.split(".")[0] for p in paths})
-
-
-def item_schema() -> T.StructType:
-    """Each key as VARIANT, so one key may hold a string in one item and an object in another."""
-    return T.StructType([T.StructField(k, T.VariantType()) for k in item_keys()] + [T.StructField(CORRUPT, T.StringType())])
-
-
-def non_array_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files whose first visible character is not ``[``."""
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(paths)
-        .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-            F.substring(F.ltrim("value", F.lit(" \t\r\ufeff")), 1, 1).alias("first_char"),
-        )
-        .filter(F.col("first_char") != "")
-    )
-    first = lines.groupBy("file_path").agg(F.min_by("first_char", "at").alias("first_char"))
-    return first.filter(F.col("first_char") != "[").select("file_path")
-
+def read_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file_path, items, reject_reason): each file is read once, as one text, and parsed as an array of VARIANT.
 
-def read_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per array element, streamed out of each file; columns of the layouts only, as one VARIANT object."""
-    raw = (
-        spark.read.schema(item_schema())
-        .option("multiLine", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", "true")
-        .json(paths)
+    A file belongs to one task, as with any multi-line JSON; one that holds no array, or no valid JSON, has no items and a
+    reason instead.
+    """
+    files = (
+        spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("file_path"), F.ltrim("value", F.lit(" \t\r\n\ufeff")).alias("__text"))
+    )
+    parsed = files.select(
+        "file_path",
+        F.substring("__text", 1, 1).alias("__first"),
+        F.from_json("__text", "array<variant>").alias("items"),
     )
-    rows = raw.select("*", F.col("_metadata.file_path").alias("file_path"))
-    item = F.to_variant_object(F.struct(*[F.col(k) for k in item_keys()]))
-    has_id = F.coalesce(*[F.col(lay.fields["review_id"]) for lay in cfg.LAYOUTS.values()]).isNotNull()
-    return with_snapshot(rows.select(F.col(CORRUPT), "file_path", item.alias("item"), has_id.alias("__has_id")))
+    reason = F.when(F.col("__first") != "[", "not_array").when(F.col("items").isNull(), "bad_json")
+    return parsed.select("file_path", F.when(reason.isNull(), F.col("items")).alias("items"), reason.alias("reject_reason"))
 
 
 def read_raw(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """(items, rejected files): unparseable content and files that do not hold an array are set aside."""
-    items = read_items(spark, paths)
-    wrong_root = non_array_files(spark, paths)
-    rejected = union_rejects(items, wrong_root)
-    good = items.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "__has_id").join(wrong_root, "file_path", "left_anti")
-    return good, rejected
-
-
-def union_rejects(items: DataFrame, wrong_root: DataFrame) -> DataFrame:
-    # Spark does not answer queries on the corrupt-record column alone, so the reason looks at a data column too.
-    reason = F.when(F.col("__has_id"), "bad_item").otherwise("bad_json").alias("reject_reason")
-    corrupt = items.filter(F.col(CORRUPT).isNotNull()).select("file_path", reason)
-    root = wrong_root.withColumn("reject_reason", F.lit("not_array"))
-    return corrupt.join(wrong_root, "file_path", "left_anti").unionByName(root).distinct()
+    """(items, rejected files). Rejected: unparseable files, files without an array, and files that hold an item that is no
+    object (``bad_item``; their other items are kept)."""
+    files = read_files(spark, paths)
+    items = files.select("file_path", F.explode_outer("items").alias("item"), "reject_reason")
+    is_object = F.startswith(F.schema_of_variant("item"), F.lit("OBJECT"))
+    good = items.filter(F.col("item").isNotNull() & is_object).select("file_path", "item")
+    odd = items.filter(F.col("reject_reason").isNull() & F.col("item").isNotNull() & ~is_object)
+    rejected = files.filter("reject_reason IS NOT NULL").select("file_path", "reject_reason").unionByName(
+        odd.select("file_path", F.lit("bad_item").alias("reject_reason")).distinct()
+    )
+    return with_snapshot(good), rejected
 
 
-def read_latest(spark: SparkSession, base: str, max_paths: int = 20_000) -> DataFrame:
-    """Items of the newest snapshot per source and product.
+def read_latest(spark: SparkSession, base: str) -> DataFrame:
+    """Items of the newest snapshot per source and product; only their files are opened.
 
-    Few snapshots: only their files are opened. Beyond ``max_paths`` the list stays a table and selects rows by join.
+    Spark lists all files under ``base`` on the driver for any read of it; the paths collected here are a part of that list.
     """
-    newest = latest_files(inventory(spark, base))
-    paths = [r[0] for r in newest.select("file_path").limit(max_paths + 1).collect()]
+    paths = [r[0] for r in latest_files(inventory(spark, base)).select("file_path").collect()]
     if not paths:
         raise FileNotFoundError(f"no raw snapshots under {base}")
-    if len(paths) <= max_paths:
-        return read_raw(spark, paths)[0]
-    return read_raw(spark, base)[0].join(newest.select("file_path"), "file_path", "left_semi")
-
-
-def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The splittable landing form: one item per line, with source, product and time columns."""
-    return spark.read.schema("source_actor string, product_key string, scraped_at string, item_json string").json(path)
+    return read_raw(spark, paths)[0]
 
 
 def write_arrays(items: DataFrame, base: str, chunk: str) -> None:

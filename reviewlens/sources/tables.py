@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,45 +46,51 @@ def csv_headers(spark: SparkSession, base: str, skip: str | None = None) -> Data
     return lines.groupBy("file_path").agg(F.min_by("header", "at").alias("header"))
 
 
-def union_csv(
-    spark: SparkSession, base: str, skip: str | None = None, max_layouts: int = 1000, max_paths: int = 20_000
-) -> DataFrame:
+def header_names(header: str) -> list[str]:
+    """Column names of a header line, quotes and commas inside quotes respected; a repeated name gets a number."""
+    names: list[str] = []
+    for raw in next(csv.reader([header])):
+        name, n = raw.strip(), 2
+        while name in names:
+            name, n = f"{raw.strip()}_{n}", n + 1
+        names.append(name)
+    return names
+
+
+def union_csv(spark: SparkSession, base: str, skip: str | None = None) -> DataFrame:
     """All CSV files stacked by column name, columns in first-seen order over sorted paths, missing cells ``""``.
 
-    Files are read per distinct header, not one by one. Beyond ``max_paths`` files the path lists stay in a table and
-    each header selects its files by join.
+    Files are read per distinct header, not one by one. The driver, which lists the files for any read, groups their paths
+    by header. Files without a header line are left out (``csv_without_header`` lists them), and so are damaged ones. A
+    header that spans lines is not recognised.
     """
-    headers = csv_headers(spark, base, skip)
-    layouts = (
-        headers.groupBy("header")
-        .agg(F.min("file_path").alias("first_path"))
-        .orderBy("first_path")
-        .limit(max_layouts + 1)
-        .collect()
-    )
+    layouts: dict[str, list[str]] = {}
+    for row in csv_headers(spark, base, skip).orderBy("file_path").toLocalIterator():
+        if row.header.strip():
+            layouts.setdefault(row.header, []).append(row.file_path)
     if not layouts:
         raise FileNotFoundError(f"no CSV files under {base}")
-    if len(layouts) > max_layouts:
-        raise ValueError(f"more than {max_layouts} different CSV headers under {base}")
-    listed = headers.limit(max_paths + 1).collect()
     frames, order = [], []
-    for row in layouts:
-        names = [n.strip().strip('"') for n in row.header.split(",")]
+    for header, paths in layouts.items():
+        names = header_names(header)
         order += [n for n in names if n not in order]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        if len(listed) <= max_paths:
-            frames.append(read_csv(spark, [f.file_path for f in listed if f.header == row.header], schema))
-            continue
-        everything = (
-            spark.read.options(**CSV).options(recursiveFileLookup="true", pathGlobFilter="*.csv", enforceSchema="true")
-            .schema(schema).csv(base).select("*", F.col("_metadata.file_path").alias("__path"))
-        )
-        mine = headers.filter(F.col("header") == row.header).select(F.col("file_path").alias("__path"))
-        frames.append(everything.join(mine, "__path", "left_semi").drop("__path"))
+        frames.append(spark.read.options(**CSV).option("ignoreCorruptFiles", "true").schema(schema).csv(paths))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    return out.select(*order).na.fill("")
+    return out.select(*[F.col(f"`{c}`") for c in order]).na.fill("")
+
+
+def csv_without_header(spark: SparkSession, base: str, skip: str | None = None) -> DataFrame:
+    """CSV files under ``base`` that the union leaves out because they hold no header line. Spark itself passes over files of no bytes."""
+    listed = (
+        spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.csv").load(base).select(F.col("path").alias("file_path"))
+    )
+    if skip:
+        listed = listed.filter(~F.contains("file_path", F.lit(skip)))
+    good = csv_headers(spark, base, skip).filter(F.trim("header") != "").select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("file_path"))
+    return listed.withColumn("file_path", F.regexp_replace("file_path", "^file:/+", "file:/")).join(good, "file_path", "left_anti")
 
 
 # -- run log ------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,11 +97,15 @@ def enrich_and_cache(info: DataFrame, path: str, factory: Callable[[], TopicEnri
     spark = info.sparkSession
     try:
         cache = spark.read.schema(ENRICHMENT).parquet(path)
-        cache.limit(1).count()
-    except Exception:
+    except AnalysisException as e:
+        # Only a cache that does not exist yet counts as empty; any other trouble with the storage stops the job.
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         cache = None
     enrich(info, cache, factory).write.mode("append").parquet(path)
-    return spark.read.schema(ENRICHMENT).parquet(path).join(info.select(*CACHE_KEYS), CACHE_KEYS, "left_semi")
+    asked = spark.read.schema(ENRICHMENT).parquet(path).join(info.select(*CACHE_KEYS), CACHE_KEYS, "left_semi")
+    # A batch that was appended twice, by a retried job, is one answer.
+    return keep_top(asked, CACHE_KEYS, [F.col("plain_description").asc_nulls_last(), F.col("resolved_keywords").asc_nulls_last()])
 
 
 # -- grouping records ----------------------------------------------------------------------

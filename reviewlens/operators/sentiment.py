@@ -143,6 +143,8 @@ def to_reviews(scored: DataFrame, null_keys: str = "keep") -> DataFrame:
 
     ``null_keys="drop"`` leaves out rows with a null in any key, as a pandas group-by does.
     """
+    # The review fixes the columns that are carried along. Grouping on them too keeps this a hash aggregate, which cannot
+    # hold text in its buffers and would have to sort all sentences.
     keys = [k for k in REVIEW_KEYS if k in scored.columns]
     if null_keys == "drop":
         scored = scored.dropna(subset=keys)

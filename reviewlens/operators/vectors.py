@@ -228,9 +228,10 @@ def keyphrases(docs: DataFrame, candidates: DataFrame, stop: list[str], n: int =
 
     centroids = mean_vectors(docs, ["topic_id"]).select("topic_id", "centroid")
     terms = with_terms(docs.select("topic_id", "embedding", "text"), stop)
-    once = terms.withColumn("terms", F.array_distinct("terms"))
-    uses = to_rows(once, "terms", ["topic_id", "embedding"], "term")
-    wanted = join_small(uses, candidates.select("topic_id", "term"), ["topic_id", "term"], "left_semi")
+    # The candidates of a topic are a short list: documents keep only those of their terms, and the vector is copied for these.
+    lists = candidates.groupBy("topic_id").agg(F.collect_set("term").alias("__wanted"))
+    once = join_small(terms, lists, ["topic_id"], "inner").withColumn("terms", F.array_intersect("terms", "__wanted"))
+    wanted = to_rows(once.filter(F.size("terms") > 0), "terms", ["topic_id", "embedding"], "term")
     means = mean_vectors(wanted, ["topic_id", "term"], out="term_vector").drop("n_vectors")
     pair = join_small(means, centroids, ["topic_id"], "inner")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)

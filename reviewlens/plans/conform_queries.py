@@ -339,6 +339,24 @@ def doubled_reviews(spark, sf):
     return reviews.unionByName(again)
 
 
+META_TYPES = {"review_date": "date", "overall_rating": "double", "is_incentivized": "boolean"}
+
+
+@query(
+    "agg_manifest",
+    with_sql(
+        *FULL, V_META,
+        query="\nUNION ALL\n".join(
+            f"""SELECT {n} AS position, '{c}' AS column_name, '{META_TYPES.get(c, "string")}' AS data_type,
+  {r(f"(count(*) - count({c}))::DOUBLE * 100.0 / count(*)::DOUBLE", 1)} AS null_pct, substr(CAST(min({c}) AS VARCHAR), 1, 50) AS example
+FROM v_meta""" for n, c in enumerate(cfg.META_COLUMNS, 1)
+        ),
+    ),
+)
+def agg_manifest(spark, sf):
+    return quality.manifest(conform.select_present(base_reviews(spark, sf), cfg.META_COLUMNS))
+
+
 @query("prj_meta", with_sql(*FULL, query=META_SQL))
 def prj_meta(spark, sf):
     return conform.build_meta(doubled_reviews(spark, sf), "ingest_seq")
@@ -386,19 +404,28 @@ def agg_field_coverage(spark, sf):
     return quality.field_coverage(unified(spark, sf), columns)
 
 
+LONG_PROFILE = [
+    "review_id", "product_name", "text_field", "text", "reviewer_company_size", "overall_rating", "is_incentivized", "review_date",
+    "switched_from_product", "topic_id",
+]
+
+
 @query(
     "agg_null_profile",
     with_sql(
-        *FULL, V_META,
+        *FULL, V_META, i.V_LONG,
         query="\nUNION ALL\n".join(
-            f"""SELECT {n} AS position, '{c}' AS column_name,
-  {r(f"(count(*) - count({c}))::DOUBLE * 100.0 / count(*)::DOUBLE", 1)} AS null_pct FROM v_meta"""
-            for n, c in enumerate(cfg.META_COLUMNS, 1)
+            f"""SELECT '{out}' AS output, {n} AS position, '{c}' AS column_name,
+  {r(f"(count(*) - count({c}))::DOUBLE * 100.0 / count(*)::DOUBLE", 1)} AS null_pct FROM v_{out}"""
+            for out, columns in (("meta", cfg.META_COLUMNS), ("long", LONG_PROFILE)) for n, c in enumerate(columns, 1)
         ),
     ),
 )
 def agg_null_profile(spark, sf):
-    return quality.null_profile(conform.build_meta(base_reviews(spark, sf), "review_id"))
+    """Both outputs: the table of reviews and the long table."""
+    meta = quality.null_profile(conform.build_meta(base_reviews(spark, sf), "review_id"))
+    long = quality.null_profile(i.reviews_long(spark, sf), LONG_PROFILE)
+    return meta.withColumn("output", F.lit("meta")).unionByName(long.withColumn("output", F.lit("long")))
 
 
 @query(

@@ -300,8 +300,3 @@ def agg_run_summary(spark, sf):
     from reviewlens.operators.marts import run_summary
 
     return run_summary(logged_runs(spark, sf))
-
-
-@query("agg_manifest")
-def agg_manifest(spark, sf):
-    return quality.manifest(conform.select_present(base_reviews(spark, sf), cfg.META_COLUMNS))

@@ -11,6 +11,7 @@ from reviewlens.plans import chain as ch
 from reviewlens.plans import inputs as i
 from reviewlens.plans.inputs import r, with_sql
 from reviewlens.plans.registry import query
+from reviewlens.session import ensure_checkpoint_dir
 
 KEYS = ["text_field", "topic_id"]
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(tp.DEFAULT_STOP)))
@@ -84,7 +85,8 @@ def tm_tokens(spark, sf):
 
 @query("tm_vocab", with_sql(*TERMS, V_VOCAB, query="SELECT * FROM v_vocab"))
 def tm_vocab(spark, sf):
-    return tp.vocabulary(tp.term_counts(docs(spark, sf), KEYS), KEYS)
+    ensure_checkpoint_dir(spark)
+    return tp.vocabulary(tp.term_counts(docs(spark, sf), KEYS).checkpoint(), KEYS)
 
 
 @query("tm_ctfidf", with_sql(*WEIGHTS, query=f"SELECT text_field, topic_id, term, n, {r('weight', 6)} AS weight FROM v_weights"))
@@ -123,7 +125,7 @@ FROM v_info WHERE topic_id <> -1""",
 def gr_enrich(spark, sf):
     """Half of the topics are enriched in a first run; the second run adds only the others."""
     from reviewlens.operators import grouping as gr
-    from reviewlens.session import scratch_path
+    from reviewlens.session import ensure_checkpoint_dir, scratch_path
 
     path = scratch_path(spark, "enrichment")
     info = ch.topic_info(spark, sf)

@@ -134,21 +134,37 @@ def tm_cluster_density(spark, sf):
     )
 
 
-@query("tm_cluster_kmeans")
+# Fitted numbers have no twin in SQL; these queries return every key with properties that the result must have.
+
+
+@query("tm_cluster_kmeans", "SELECT vec_id, label, true AS has_topic, 10::BIGINT AS n_topics FROM embeddings")
 def tm_cluster_kmeans(spark, sf):
-    return cl.kmeans_topics(embeddings(spark, sf), 10).select("vec_id", "label", "topic_id")
+    rows = cl.kmeans_topics(embeddings(spark, sf), 10)
+    n = rows.select(F.countDistinct("topic_id").alias("n")).scalar()
+    return rows.select("vec_id", "label", F.col("topic_id").between(0, 9).alias("has_topic"), n.alias("n_topics"))
 
 
-@query("tm_embed")
-def tm_embed(spark, sf):
+def document_vectors(spark, sf):
     docs = i.table(spark, sf, "documents").select("doc_id", "text")
-    model = ve.fit_embedding(docs, tp.DEFAULT_STOP, dim=64)
-    return ve.embed(docs, model, tp.DEFAULT_STOP).select("doc_id", "embedding")
+    return ve.embed(docs, ve.fit_embedding(docs, tp.DEFAULT_STOP, dim=64), tp.DEFAULT_STOP).select("doc_id", "embedding")
 
 
-@query("tm_reduce")
+def length_of(vec):
+    return F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, v: s + v * v))
+
+
+@query("tm_embed", "SELECT doc_id, 64 AS n_dims, true AS is_unit FROM documents")
+def tm_embed(spark, sf):
+    size = length_of(F.col("embedding"))
+    # A text without terms has the zero vector.
+    return document_vectors(spark, sf).select("doc_id", F.size("embedding").alias("n_dims"), ((size == 0) | (F.abs(size - 1) < 1e-5)).alias("is_unit"))
+
+
+@query("tm_reduce", "SELECT vec_id, label, 10 AS n_dims, true AS within_unit FROM embeddings")
 def tm_reduce(spark, sf):
-    return ve.reduce_dims(embeddings(spark, sf), 10).select("vec_id", "label", "reduced")
+    rows = ve.reduce_dims(embeddings(spark, sf), 10)
+    # A projection of a unit vector is no longer than the vector.
+    return rows.select("vec_id", "label", F.size("reduced").alias("n_dims"), (length_of(F.col("reduced")) <= 1 + 1e-6).alias("within_unit"))
 
 
 V_CENT = ("v_cent", centroid_sql("v_vec", "label"))
@@ -211,10 +227,18 @@ def agg_outlier_rate(spark, sf):
     return marts.outlier_rate(moved(spark, sf).withColumn("text_field", field))
 
 
-@query("tm_merge_topics")
+FINE_TOPICS = "SELECT DISTINCT CAST(label * 4 + vec_id % 4 AS INTEGER) AS topic_id FROM embeddings"
+
+
+@query("tm_merge_topics", f"SELECT topic_id, 10::BIGINT AS n_merged, true AS into_topic FROM ({FINE_TOPICS})")
 def tm_merge_topics(spark, sf):
     vectors = embeddings(spark, sf).withColumn("topic_id", (F.col("label") * 4 + F.col("vec_id") % 4).cast("int"))
-    return ve.merge_topics(ve.mean_vectors(vectors, ["topic_id"]), 10)
+    merged = ve.merge_topics(ve.mean_vectors(vectors, ["topic_id"]), 10)
+    n = merged.select(F.countDistinct("merged_topic").alias("n")).scalar()
+    # A topic that others join stays itself.
+    heads = merged.filter("topic_id = merged_topic").select(F.col("topic_id").alias("merged_topic"), F.lit(True).alias("__head"))
+    found = merged.join(heads, "merged_topic", "left")
+    return found.select("topic_id", n.alias("n_merged"), F.coalesce("__head", F.lit(False)).alias("into_topic"))
 
 
 def topic_docs(spark, sf):
@@ -268,25 +292,32 @@ def tm_keyphrase(spark, sf):
     return ranked.withColumn("similarity", round_half_up(F.col("similarity"), 4))
 
 
-@query("gr_by_similarity")
+@query("gr_by_similarity", f"SELECT topic_id, true AS has_group, true AS has_label FROM ({FINE_TOPICS})")
 def gr_by_similarity(spark, sf):
     vectors = embeddings(spark, sf).withColumn("topic_id", (F.col("label") * 4 + F.col("vec_id") % 4).cast("int"))
     centroids = ve.mean_vectors(vectors, ["topic_id"])
     keywords = tp.clean_keywords(topic_keywords(spark, sf), ["topic_id"])
-    return gr.group_by_similarity(centroids, keywords)
+    groups = gr.group_by_similarity(centroids, keywords)
+    return groups.select("topic_id", F.rlike("macro_group", F.lit("^group_[0-9]$")).alias("has_group"), (F.length("group_label") > 0).alias("has_label"))
 
 
-@query("tm_model_io")
+@query("tm_model_io", "SELECT doc_id, true AS has_topic, true AS same_as_unsaved FROM documents")
 def tm_model_io(spark, sf):
-    """Save encoder, centroids and term weights, load them again, and assign every document."""
+    """Save encoder, centroids and term weights, load them again, and assign every document with both."""
     from reviewlens.operators import model_io
 
     path = scratch_path(spark, "topic-model")
-    docs = topic_docs(spark, sf).drop("embedding")
+    # Every document, with the topic that the long table gives it.
+    docs = i.reviews_long(spark, sf).select(F.col("review_id").cast("bigint").alias("doc_id"), "text", "topic_id").filter("topic_id <> -1")
     encoder = ve.fit_embedding(docs, tp.DEFAULT_STOP, dim=64)
     encoded = ve.embed(docs, encoder, tp.DEFAULT_STOP)
     weights = tp.ctfidf(docs, ["topic_id"])
-    model_io.save(path, encoder, ve.mean_vectors(encoded, ["topic_id"]), weights, {"min_topic_size": 10, "max_topics": 60})
+    centroids, settings = ve.mean_vectors(encoded, ["topic_id"]), {"min_topic_size": 10, "max_topics": 60}
+    model_io.save(path, encoder, centroids, weights, settings)
     loaded = model_io.load(spark, path)
     every = i.table(spark, sf, "documents").select("doc_id", "text")
-    return model_io.assign(every, loaded, tp.DEFAULT_STOP).select("doc_id", "topic_id", "probability")
+    saved = model_io.assign(every, loaded, tp.DEFAULT_STOP).select("doc_id", "topic_id", "probability")
+    unsaved = model_io.assign(every, model_io.TopicModel(encoder, loaded.centroids, weights, settings), tp.DEFAULT_STOP)
+    both = saved.join(unsaved.select("doc_id", F.col("topic_id").alias("t"), F.col("probability").alias("p")), "doc_id")
+    same = (F.col("topic_id") == F.col("t")) & (F.col("probability") == F.col("p"))
+    return both.select("doc_id", F.col("topic_id").isNotNull().alias("has_topic"), same.alias("same_as_unsaved"))

@@ -50,15 +50,36 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share; a machine-local one would not reach them")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_BASE:
         _LOCAL_BASE[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return _LOCAL_BASE[app]
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/reviewlens/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/reviewlens/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this session has written to its scratch paths; returns their number.
+
+    For the end of a job: frames that still read from them can no longer be computed. Only paths that ``scratch_path`` handed
+    out are touched. Checkpoints are Spark's own; ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes those.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

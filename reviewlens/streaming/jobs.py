@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reviewlens.functions.numeric import round_half_up
 from reviewlens.operators import conform
-from reviewlens.operators.dedup import latest_version
+from reviewlens.operators.dedup import keep_top, latest_version
 
 LANDING_SCHEMA = "source_actor string, product_key string, scraped_at string, item_json string"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -25,36 +25,59 @@ def keep_state_on_disk(spark: SparkSession) -> None:
         spark.conf.set(_PROVIDER, _ROCKSDB)
 
 
-def normalized_stream(landing: DataFrame, dimension: DataFrame, lateness: str = "30 days") -> DataFrame:
-    """Landed JSON lines -> unified reviews, first copy of an id wins.
+def normalized_batch(checked: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Accepted items of one batch -> unified reviews, the earliest copy of an id first."""
+    unified = conform.unify(conform.accepted(checked).drop("item_json"), dimension)
+    timed = unified.withColumn("scraped_ts", F.try_to_timestamp("scraped_at"))
+    return keep_top(timed, ["review_id"], [F.col("scraped_ts").asc_nulls_last(), F.col("product_id"), F.xxhash64(*timed.columns)])
 
-    State holds the ids of one ``lateness`` span: a copy that arrives later than that passes again (a batch run
-    de-duplicates over everything).
+
+def run_ingest(spark: SparkSession, landing: str, dimension: DataFrame, out: str, checkpoint: str, rejects: str | None = None) -> StreamingQuery:
+    """Landed JSON lines -> unified reviews; the first copy of an id wins over everything that has ever been ingested.
+
+    Each micro-batch is compared with the ids already written (one column of the output is read), so nothing is too late: a
+    back-fill of old snapshots arrives like any other. Items that cannot be used go to ``rejects`` with their reason. Each
+    batch owns a folder in both tables; a replayed batch replaces its own rows only.
     """
-    good = conform.accepted(conform.with_reject_reason(landing)).drop("item_json")
-    unified = conform.unify(good, dimension)
-    timed = unified.withColumn("scraped_ts", F.try_to_timestamp("scraped_at")).withWatermark("scraped_ts", lateness)
-    return timed.dropDuplicatesWithinWatermark(["review_id"])
+    rejects = rejects or f"{out}_rejects"
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        checked = conform.with_reject_reason(batch)
+        refused = checked.filter(F.col("reject_reason").isNotNull()).select(*batch.columns, "reject_reason")
+        refused.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        fresh = normalized_batch(checked, dimension)
+        earlier = [p for p in _folders(session, out) if p != f"batch_id={batch_id}"]
+        if earlier:
+            seen = session.read.parquet(*[f"{out}/{p}" for p in earlier]).select("review_id")
+            fresh = fresh.join(seen, "review_id", "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-def run_ingest(
-    spark: SparkSession, landing: str, dimension: DataFrame, out: str, checkpoint: str, lateness: str = "30 days"
-) -> StreamingQuery:
-    keep_state_on_disk(spark)
     raw = spark.readStream.schema(LANDING_SCHEMA).option("recursiveFileLookup", "true").json(landing)
-    query = (
-        normalized_stream(raw, dimension, lateness)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    query = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Finished batch folders under a path."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(fs_path):
+        return []
+    done = lambda p: fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+    return sorted(s.getPath().getName() for s in fs.listStatus(fs_path) if s.isDirectory() and done(s.getPath()))
+
+
+def compact(spark: SparkSession, out: str, keys: list[str], order: list[Column], target: str) -> int:
+    """Write the latest row per key of a change table to ``target``, as its first batch; returns the number of rows.
+
+    Readers of ``target`` rank the compacted rows and later batches only. Point the stream's writer there afterwards.
+    """
+    latest_version(spark.read.parquet(out), keys, order).drop("batch_id").write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    return spark.read.parquet(f"{target}/batch_id=-1").count()
+
+
 def _append_batches(out: str, prepare=lambda df: df):
     """A foreachBatch writer: each batch owns one folder, so a replayed batch replaces its own rows only."""
 

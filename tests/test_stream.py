@@ -28,6 +28,20 @@ def test_ingest_keeps_the_first_copy(spark, tmp_path):
     run()  # nothing new has landed
     got = sorted((r.review_id, r.scraped_at, r.overall_rating) for r in spark.read.parquet(out).collect())
     assert got == [("1", first, 5.0), ("2", first, None), ("3", later, None)]
+    old = "2020-01-01T00:00:00+00:00"
+    land(landing, "c.json", [(old, {"reviewId": "new and old"}), (old, {"reviewId": "2", "overallRating": 1})])
+    run()
+    assert {r.review_id for r in spark.read.parquet(out).collect()} == {"1", "2", "3", "new and old"}
+    assert [(r.scraped_at, r.reject_reason) for r in spark.read.parquet(out + "_rejects").collect()] == [(first, "not_object")]
+
+
+def test_compaction_keeps_the_latest_rows(spark, tmp_path):
+    out, small = str(tmp_path / "changes"), str(tmp_path / "compacted")
+    for n, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)]]):
+        spark.createDataFrame(rows, "k string, version int").write.parquet(f"{out}/batch_id={n}")
+    before = sorted(map(tuple, jobs.current_rows(spark, out, "k", "version").collect()))
+    assert jobs.compact(spark, out, ["k"], [F.col("version").desc(), F.col("batch_id").desc()], small) == 3
+    assert sorted(map(tuple, jobs.current_rows(spark, small, "k", "version").collect())) == before == [("a", 2), ("b", 1), ("c", 3)]
 
 
 def events(spark):

@@ -9,9 +9,12 @@ similarity, and clearly dissimilar candidates go no further. The others are conf
 At a similarity of exactly 0.8 a link is missed with a probability of about 3 in a million, above it less.
 
 Groups of copies are never expanded into pairs. Documents with the same set are one class with one representative. Inside a
-key's group, everyone is compared with the group's first and last member; what this links is joined into components, and
-only members of different components in one group are compared after that. So a group of thousands of near copies costs a
-few comparisons for each member, and no link that connects two components is left out.
+key's group, everyone is compared with the group's first and last member; what this links is joined into components. After
+that, only members that are not in the largest component of their group are held against the others of the group, and a pair
+becomes a row only if a parity sketch allows the link. The sketch has a bit for each of 1,024 cells, set where an odd number
+of shingles falls into the cell. Two sketches differ in at most as many bits as the sets differ in shingles, so this test
+never rules out a link. A group of thousands of near copies thus costs a few rows for each member, and no link that connects
+two components is left out.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ ROWS, BANDS = 6, 42
 EMPTY = 0xFFFF
 #: Candidates are dropped on the estimate only if it lies this many standard deviations below the threshold.
 DEVIATIONS = 5.0
+#: Longs of a parity sketch.
+PARITY = 16
 _rng = np.random.Generator(np.random.PCG64(20250115))
 #: For each bucket the order in which it borrows from the others when it is empty.
 _BORROW = np.stack([np.concatenate([[k], _rng.permutation(np.delete(np.arange(BUCKETS), k))]) for k in range(BUCKETS)])
@@ -65,6 +70,11 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
         return mix((groups * _BAND_MIX).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    cells = np.bincount((hashes & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Estimated similarity of pairs of register rows, and the number of buckets it rests on.
 
@@ -79,31 +89,32 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tu
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n, set_a, set_b (128-bit digest of the set; null for empty sets), registers, bands."""
+    """doc_id, n, set_a, set_b (128-bit digest of the set; null for empty sets), bands.
+
+    Most documents share no band with any other; only the others' registers are stored, with their sets (``_candidates``).
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ns, sa, sb, regs, bands = [], [], [], [], []
+        ns, sa, sb, bands = [], [], [], []
         for s in shingle_sets(rows_of(batch.column(1)), size):
             ns.append(len(s))
             d = xxhash.xxh3_128_intdigest(s.tobytes())
             sa.append(int.from_bytes((d >> 64).to_bytes(8, "big"), "big", signed=True) if len(s) else None)
             sb.append(int.from_bytes((d & (2**64 - 1)).to_bytes(8, "big"), "big", signed=True) if len(s) else None)
-            r = registers(s)
-            regs.append(r.tobytes())
-            bands.append(band_keys(r) if len(s) else np.zeros(0, np.int64))
+            bands.append(band_keys(registers(s)) if len(s) else np.zeros(0, np.int64))
         ends = np.concatenate([[0], np.cumsum([len(k) for k in bands])]).astype(np.int32)
         keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*bands, np.zeros(0, np.int64)])))
-        cols = [batch.column(0), pa.array(ns, pa.int64()), pa.array(sa, pa.int64()), pa.array(sb, pa.int64()), pa.array(regs, pa.binary()), keys]
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "set_a", "set_b", "registers", "bands"])
+        cols = [batch.column(0), pa.array(ns, pa.int64()), pa.array(sa, pa.int64()), pa.array(sb, pa.int64()), keys]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "set_a", "set_b", "bands"])
 
     kinds = [docs.schema["doc_id"]] + [T.StructField(c, T.LongType()) for c in ("n", "set_a", "set_b")]
-    kinds += [T.StructField("registers", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]
+    kinds += [T.StructField("bands", T.ArrayType(T.LongType()))]
     return map_batches(docs.select("doc_id", "text"), run, T.StructType(kinds), max_bytes=2 << 20)
 
 
-def _likely(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
+def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose estimate does not rule the threshold out."""
-    regs = sigs.select("doc_id", "n", "registers")
+    regs = nodes.select("doc_id", "n", "registers")
     a = regs.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
     b = regs.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
     # Sizes alone rule many pairs out: the smaller set is at most the intersection, the larger at least the union.
@@ -119,18 +130,27 @@ def _likely(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
     return map_batches(wide, run, pairs.select("a", "b").schema).distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: float, name: str) -> DataFrame:
-    """Pairs whose full sets reach the threshold. Only documents that occur in a pair have their sets built."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    used = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+def _candidates(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """doc_id, n, set, registers, parity of the documents that share a band key with another: one pass over the texts."""
+    used = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
 
     def build(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s.tobytes() for s in shingle_sets(rows_of(batch.column(1)), size)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "set"])
-
-    sets = written(map_batches(used, build, T.StructType([docs.schema["doc_id"], T.StructField("set", T.BinaryType())]), max_bytes=2 << 20), f"{name}-sets")
-    a = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb"))
+        sets = shingle_sets(rows_of(batch.column(1)), size)
+        steps = pa.array(np.arange(0, PARITY * len(sets) + 1, PARITY, dtype=np.int32))
+        parity = pa.ListArray.from_arrays(steps, pa.array(np.concatenate([*[parity_sketch(s) for s in sets], np.zeros(0, np.int64)])))
+        cols = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+        cols += [pa.array([registers(s).tobytes() for s in sets], pa.binary()), parity]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "set", "registers", "parity"])
+
+    kinds = [docs.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("set", T.BinaryType())]
+    kinds += [T.StructField("registers", T.BinaryType()), T.StructField("parity", T.ArrayType(T.LongType()))]
+    return map_batches(used, build, T.StructType(kinds), max_bytes=2 << 20)
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, threshold: float, name: str) -> DataFrame:
+    """Pairs whose full sets reach the threshold."""
+    a = nodes.select(F.col("doc_id").alias("a"), F.col("set").alias("sa"))
+    b = nodes.select(F.col("doc_id").alias("b"), F.col("set").alias("sb"))
     wide = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
     percent = round(threshold * 100)
 
@@ -169,6 +189,24 @@ def connected(links: DataFrame, name: str) -> DataFrame:
     return where.join(lowest, "at").select("node", "component")
 
 
+def _across(placed: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of one group in different components that could be linked, from (key, node, c)."""
+    counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
+    largest = counts.groupBy("key").agg(F.max(F.struct("k", "c"))["c"].alias("main"), F.count(F.lit(1)).alias("parts"))
+    mixed = largest.filter("parts > 1").select("key", "main")
+    bits = nodes.select(F.col("doc_id").alias("node"), "n", *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITY)])
+    open_places = written(placed.join(mixed, "key").join(bits, "node"), "near-open")
+    x = open_places.filter("c <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "c", "n", *[f"p{k}" for k in range(PARITY)])])
+    differing = F.lit(0)
+    for k in range(PARITY):
+        differing = differing + F.bit_count(F.col(f"x_p{k}").bitwiseXOR(F.col(f"p{k}")))
+    # Similarity t or more means that the sets differ in at most (1 - t) / (1 + t) of both sizes together.
+    allowed = (F.col("x_n") + F.col("n")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    y = open_places.select(F.col("key").alias("y_key"), "node", "c", "n", *[f"p{k}" for k in range(PARITY)])
+    cond = (F.col("key") == F.col("y_key")) & (F.col("x_c") != F.col("c")) & (differing <= allowed)
+    return x.join(y, cond).select(F.col("x_node").alias("a"), F.col("node").alias("b"))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -183,22 +221,25 @@ def link_components(docs: DataFrame, size: int = 2, threshold: float = 0.8) -> D
     places = reps.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
     groups = places.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     shared = written(places.join(groups, "key"), "near-groups")
+    ids = shared.select(F.col("node").alias("doc_id")).distinct()
+    nodes = written(_candidates(docs, ids, size), "near-candidates")
     star = shared.select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(shared.select(F.col("node").alias("a"), F.col("high").alias("b")))
-    first = written(_likely(_ordered(star), sigs, threshold), "near-first")
-    links = _confirmed(first, docs, size, threshold, "near-first")
+    first = written(_likely(_ordered(star), nodes, threshold), "near-first")
+    links = _confirmed(first, nodes, threshold, "near-first")
     found = written(connected(links, "near-first"), "near-found")
     # Members of one group that are still in different components.
     placed = shared.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1").select("key")
-    open_places = written(placed.join(mixed, "key"), "near-open")
-    x = open_places.select("key", F.col("node").alias("a"), F.col("c").alias("ca"))
-    y = open_places.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-    across = _ordered(x.join(y, "key").filter("ca < cb").select("a", "b")).join(_ordered(star), ["a", "b"], "left_anti")
-    more = written(_likely(across, sigs, threshold), "near-second")
-    if not more.isEmpty():
-        links = links.unionByName(_confirmed(more, docs, size, threshold, "near-second"))
-        found = written(connected(links, "near-second"), "near-found")
+    across = _ordered(_across(placed, nodes, threshold)).join(first, ["a", "b"], "left_anti")
+    more = written(_likely(across, nodes, threshold), "near-second")
     of_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    if not more.isEmpty():
+        # Links between components join these; the nodes inside follow.
+        ca = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+        cb = found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+        again = _confirmed(more, nodes, threshold, "near-second").join(ca, "a", "left").join(cb, "b", "left")
+        between = _ordered(again.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+        merged = connected(written(between, "near-between"), "near-second").select(F.col("node").alias("component"), F.col("component").alias("__to"))
+        of_class = of_class.join(merged, "component", "left").withColumn("component", F.coalesce("__to", "component")).drop("__to")
     needed = of_class.filter("members > 1 OR component <> rep").select("set_a", "set_b", "members", "component")
     rows = sigs.select("doc_id", "n", "set_a", "set_b")
     joined = join_groups(rows, needed, ["set_a", "set_b"], "members", rows.count())

@@ -60,7 +60,7 @@ def copies(rate: Column, doc_id: Column, seed: str) -> Column:
 def _rated(rows: DataFrame, seed: str, **options) -> DataFrame:
     """rows (doc_id, source, size) with source_size, target, rate and copies."""
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    rates = target_sizes(sources, **options)
+    rates = written(target_sizes(sources, **options), "mix-rates")
     joined = salted_lookup(rows, rates, ["source"], F.col("doc_id"))
     return joined.withColumn("copies", copies(F.col("rate"), F.col("doc_id"), seed))
 
@@ -83,7 +83,8 @@ def mix(docs: DataFrame, seed: str = "mix-1", **options) -> DataFrame:
     names = docs.columns
     sizes = written(docs.select("source", word_count(F.col("text")).alias("size")), "mix-sizes")
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    rates = target_sizes(sources, **options).select(F.col("source").alias("__key"), F.col("rate").alias("__rate"))
+    # Written first, so that Spark plans the join by the table's real size: documents are not shuffled for a short list.
+    rates = written(target_sizes(sources, **options), "mix-rates").select(F.col("source").alias("__key"), F.col("rate").alias("__rate"))
     rated = salted_lookup(docs.withColumn("__key", F.col("source")), rates, ["__key"], F.col("doc_id"))
     times = F.array_repeat(F.lit(1), copies(F.col("__rate"), F.col("doc_id"), seed).cast("int"))
     return rated.withColumn("__times", times).withColumn("__one", F.explode("__times")).select(*[F.col(f"`{c}`") for c in names])

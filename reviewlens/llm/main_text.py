@@ -322,10 +322,15 @@ def train(pages: list[str], layouts: int = LAYOUTS, seed: int = 7) -> Boost:
 
 
 def sample_pages(pages: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """At most ``sample`` pages of at most SAMPLE_CHARS characters, in hash order of their ids; larger ones are passed over."""
+    """At most ``sample`` pages of at most SAMPLE_CHARS characters, in hash order of their ids; larger ones are passed over.
+
+    Keys are drawn first, so that tasks send keys to the driver and not pages; a key that several rows share counts once.
+    """
     key = F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit("")).cast("binary"))
-    usable = pages.filter(F.col("html").isNotNull() & (F.char_length("html") <= SAMPLE_CHARS))
-    return [r.html for r in usable.select(key.alias("k"), "html").orderBy("k", "html").limit(sample).collect()]
+    usable = pages.filter(F.col("html").isNotNull() & (F.char_length("html") <= SAMPLE_CHARS)).select(key.alias("k"), "html")
+    drawn = [r.k for r in usable.select("k").orderBy("k").limit(sample).collect()]
+    found = usable.filter(F.col("k").isin(drawn)).groupBy("k").agg(F.min("html").alias("html")) if drawn else usable.limit(0)
+    return [r.html for r in found.orderBy("k").collect()]
 
 
 def extract(pages: DataFrame, sample: int = SAMPLE, layouts: int = LAYOUTS) -> DataFrame:

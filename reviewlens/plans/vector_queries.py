@@ -122,7 +122,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighb
     ),
 )
 def tm_knn(spark, sf):
-    near = cl.neighbours(embeddings(spark, sf), "vec_id", KNN, pivots=PIVOTS, block=KNN_BLOCK)
+    """Exact over all rows. The twin still has the blocks of the former version, so it differs."""
+    near = cl.neighbours(embeddings(spark, sf), "vec_id", KNN)
     return near.withColumn("distance", round_half_up(F.col("distance"), 6))
 
 

@@ -240,3 +240,18 @@ def test_neighbours_against_all_pairs_and_in_blocks(spark):
         assert [(r.neighbour, r.rank) for r in sorted((r for r in got if r.vec_id == key), key=lambda r: r.rank)] == [(i, n) for n, (_, i) in enumerate(d, 1)]
     cut = cl.neighbours(df, "vec_id", k=3, pivots=2, block=16).groupBy("vec_id").count().collect()
     assert len(cut) >= 100 and max(r["count"] for r in cut) == 3
+
+
+def test_neighbours_are_exact_across_blocks(spark):
+    """Recall is 1 however the rows are dealt: the given vectors in 8 blocks, and blobs with many copies in 16."""
+    given = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding")
+    for df, block in ((given, 64), (blobs(spark, [60, 60, 60], noise=0.5, copies=70).select("vec_id", "embedding"), 16)):
+        rows = sorted(df.collect(), key=lambda r: r.vec_id)
+        ids, x = [r.vec_id for r in rows], np.stack([np.array(r.embedding) for r in rows]).astype("float64")
+        got = {}
+        for r in cl.neighbours(df, "vec_id", k=5, pivots=16, block=block).collect():
+            got.setdefault(r.vec_id, {})[r.rank] = r.neighbour
+        for at, i in enumerate(ids):
+            d = np.floor(np.sqrt(((x - x[at]) ** 2).sum(axis=1)) * 1e9 + 0.5) / 1e9
+            d[at] = np.inf
+            assert got[i] == {n: ids[j] for n, j in enumerate(np.argsort(d, kind="stable")[:5], 1)}

@@ -29,8 +29,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id; shingles and threshold as in the operator."""
-    return near_dup.drop_near_copies(docs)
+    """Of each group of near-duplicates, the document with the smallest id. Copies share 0.8 of their shingles of five words."""
+    return near_dup.drop_near_copies(docs, size=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

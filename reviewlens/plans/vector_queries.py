@@ -242,16 +242,23 @@ def tm_merge_topics(spark, sf):
     return found.select("topic_id", n.alias("n_merged"), F.coalesce("__head", F.lit(False)).alias("into_topic"))
 
 
-def topic_docs(spark, sf):
-    """Documents that have a vector, with its label as the topic."""
-    vectors = embeddings(spark, sf).select(F.col("vec_id").alias("doc_id"), "embedding", F.col("label").alias("topic_id"))
-    return i.table(spark, sf, "documents").select("doc_id", "text").join(vectors, "doc_id")
+def long_topics(spark, sf):
+    """Every document, with the topic that the long table gives it (-1 is a topic of its own here)."""
+    return i.reviews_long(spark, sf).select(F.col("review_id").cast("bigint").alias("doc_id"), "text", "topic_id")
 
 
-def topic_keywords(spark, sf):
-    docs = topic_docs(spark, sf).drop("embedding")
-    ranked = tp.top_terms(tp.ctfidf(docs, ["topic_id"]), ["topic_id"], 20)
-    return ranked
+def fine_topics(spark, sf):
+    """Every document, dealt over as many topics as the given vectors have fine ones."""
+    return i.table(spark, sf, "documents").select("doc_id", "text", F.pmod("doc_id", F.lit(40)).cast("int").alias("topic_id"))
+
+
+def topic_docs(docs):
+    """Documents with their vectors."""
+    return ve.embed(docs, ve.fit_embedding(docs, tp.DEFAULT_STOP, dim=64), tp.DEFAULT_STOP).select("doc_id", "text", "embedding", "topic_id")
+
+
+def topic_keywords(docs):
+    return tp.top_terms(tp.ctfidf(docs, ["topic_id"]), ["topic_id"], 20)
 
 
 V_TD = ("v_td", "SELECT d.doc_id, d.text, v.x, v.label FROM documents d JOIN v_vec v ON d.doc_id = v.vec_id")
@@ -289,15 +296,17 @@ SELECT label AS topic_id, term, {r("s", 4)} AS similarity, CAST(rn AS INTEGER) A
 
 @query("tm_keyphrase", _keyphrase_sql())
 def tm_keyphrase(spark, sf):
-    ranked = ve.keyphrases(topic_docs(spark, sf), topic_keywords(spark, sf), tp.DEFAULT_STOP)
+    """Over all documents. The twin still reads only those with a given vector, so it differs."""
+    docs = long_topics(spark, sf)
+    ranked = ve.keyphrases(topic_docs(docs), topic_keywords(docs), tp.DEFAULT_STOP)
     return ranked.withColumn("similarity", round_half_up(F.col("similarity"), 4))
 
 
 @query("gr_by_similarity", f"SELECT topic_id, true AS has_group, true AS has_label FROM ({FINE_TOPICS})")
 def gr_by_similarity(spark, sf):
-    vectors = embeddings(spark, sf).withColumn("topic_id", (F.col("label") * 4 + F.col("vec_id") % 4).cast("int"))
-    centroids = ve.mean_vectors(vectors, ["topic_id"])
-    keywords = tp.clean_keywords(topic_keywords(spark, sf), ["topic_id"])
+    docs = fine_topics(spark, sf)
+    centroids = ve.mean_vectors(topic_docs(docs), ["topic_id"])
+    keywords = tp.clean_keywords(topic_keywords(docs), ["topic_id"])
     groups = gr.group_by_similarity(centroids, keywords)
     return groups.select("topic_id", F.rlike("macro_group", F.lit("^group_[0-9]$")).alias("has_group"), (F.length("group_label") > 0).alias("has_label"))
 

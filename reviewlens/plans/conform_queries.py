@@ -399,9 +399,8 @@ FROM v_base"""
     ),
 )
 def agg_field_coverage(spark, sf):
-    columns = ["review_id", "use_case", "overall_rating", "reviewer_industry", "reviewer_location", "review_date",
-               "time_using_product"]
-    return quality.field_coverage(unified(spark, sf), columns)
+    """All unified fields. The twin still has seven of them, so it differs."""
+    return quality.field_coverage(unified(spark, sf), list(cfg.UNIFIED_FIELDS))
 
 
 LONG_PROFILE = [

@@ -2,8 +2,9 @@
 
 Word statistics of every text are computed once. For each measure, quantile sketches are kept per language and source:
 counts of documents in buckets whose widths grow by a fixed factor, so sketches merge by adding counts and any quantile is
-known to within the factor. Limits come from the sketches (upper quartile plus a multiple of the spread), and documents are
-joined with the limits of their group and filtered.
+known to within the factor. Limits come from the lower half of the sketches (median plus a multiple of the distance to the
+lower quartile), which junk in up to half of a group does not carry away, and documents are joined with the limits of their
+group and filtered.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from reviewlens.llm.common import map_batches, rows_of, salted_lookup, written
 SYMBOLS = b"#*$%&|<>"
 #: Buckets grow by this factor; the first one holds everything up to LEAST.
 GROWTH, LEAST = 1.02, 1e-4
-#: Measures that are judged from above: name -> (value from the statistics, least margin above the upper quartile).
+#: Measures that are judged from above: name -> (value from the statistics, least margin above the median).
 MEASURES = {"symbol_rate": 0.1, "dup_line_rate": 0.4, "repeat_rate": 0.35, "word_length": 0.5}
-#: A group's limit is its upper quartile plus FENCE times the distance between median and upper quartile, at least the margin.
+#: A group's limit is its median plus FENCE times the distance between lower quartile and median, its own or its language's, at
+#: least the margin.
 FENCE = 12.0
 #: Groups with fewer documents use the merged sketch of their language, and languages with fewer that of all documents.
 MIN_DOCS = 30
@@ -127,15 +129,18 @@ def limits(stats: DataFrame, fence: float = FENCE, min_docs: int = MIN_DOCS, mar
     margin = F.create_map(*[F.lit(x) for m in margins.items() for x in m])[F.col("measure")]
 
     def limit(sketch: DataFrame, keys: list[str], name: str) -> DataFrame:
-        q = quantiles(sketch, keys, {"q50": 0.5, "q75": 0.75})
-        top = F.col("q75") + F.greatest(F.lit(fence) * (F.col("q75") - F.col("q50")), margin)
-        return q.select(*[F.col(k).alias(f"__{name}_{k}") for k in keys], F.col("measure").alias(f"__{name}_m"), F.col("n").alias(f"__{name}_n"), top.alias(f"__{name}"))
+        q = quantiles(sketch, keys, {"q25": 0.25, "q50": 0.5})
+        reach = F.greatest(F.lit(fence) * (F.col("q50") - F.col("q25")), margin)
+        named = {"m": F.col("measure"), "n": F.col("n"), "mid": F.col("q50"), "reach": reach}
+        return q.select(*[F.col(k).alias(f"__{name}_{k}") for k in keys], *[c.alias(f"__{name}_{x}") for x, c in named.items()])
 
     own, lang, every = limit(fine, ["lang", "source"], "own"), limit(by_lang, ["lang"], "lang"), limit(overall, [], "all")
     joined = own.join(lang, F.col("__own_lang").eqNullSafe(F.col("__lang_lang")) & (F.col("__own_m") == F.col("__lang_m"))).join(
         every, F.col("__own_m") == F.col("__all_m")
     )
-    chosen = F.when(F.col("__own_n") >= min_docs, F.col("__own")).when(F.col("__lang_n") >= min_docs, F.col("__lang")).otherwise(F.col("__all"))
+    own_top = F.col("__own_mid") + F.greatest("__own_reach", "__lang_reach")
+    lang_top, all_top = (F.col(f"__{name}_mid") + F.col(f"__{name}_reach") for name in ("lang", "all"))
+    chosen = F.when(F.col("__own_n") >= min_docs, own_top).when(F.col("__lang_n") >= min_docs, lang_top).otherwise(all_top)
     return joined.groupBy(F.col("__own_lang").alias("lang"), F.col("__own_source").alias("source")).agg(
         *[F.max(F.when(F.col("__own_m") == m, chosen)).alias(f"max_{m}") for m in MEASURES]
     )

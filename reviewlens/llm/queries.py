@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, main_text, mixing, near_dup, quality, rollup
-from reviewlens.llm.common import table, word_count
+from reviewlens.llm.common import table, word_count, written
 from reviewlens.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,15 +134,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents are inserted with an estimate from their length, revised to exact counts, and the toxic ones deleted.
-    Each batch arrives twice, as after a retry; the second time changes nothing."""
+    Each batch arrives twice, as after a retry; the second time changes nothing. Every row counts, also where rows share an id
+    or have none: a row's key is its values and its number among equal rows."""
     docs = table(spark, sf_dir, "documents")
-    ledger = rollup.TokenLedger(spark, scratch_path(spark, "token-ledger"))
-    base = docs.select("doc_id", "source", "lang", F.lit("words-1").alias("tokenizer"), "text", "n_chars")
-    first = base.select(F.lit("insert").alias("op"), "doc_id", "source", "lang", "tokenizer", F.floor(F.col("n_chars") / 6).alias("tokens"))
-    exact = base.select(F.lit("revise").alias("op"), "doc_id", "source", "lang", "tokenizer", word_count(F.col("text")).alias("tokens"))
+    ledger = rollup.TokenLedger(spark, scratch_path(spark, "token-ledger"), "string")
+    values = ["doc_id", "source", "lang", "guess", "words"]
+    counted = docs.select("doc_id", "source", "lang", F.floor(F.col("n_chars") / 6).alias("guess"), word_count(F.col("text")).alias("words"))
+    equal = counted.groupBy(*values).agg(F.count(F.lit(1)).alias("n"))
+    numbered = equal.select(*values, F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("n"))
+    key = F.to_json(F.struct(*values, "n"))
+    base = written(numbered.select(key.alias("key"), *values, F.lit("words-1").alias("tokenizer")), "token-rows")
+    first = base.select(F.lit("insert").alias("op"), F.col("key").alias("doc_id"), "source", "lang", "tokenizer", F.col("guess").alias("tokens"))
+    exact = base.select(F.lit("revise").alias("op"), F.col("key").alias("doc_id"), "source", "lang", "tokenizer", F.col("words").alias("tokens"))
     none = F.lit(None).cast("string")
-    toxic = table(spark, sf_dir, "labels").filter("toxic = 1")
-    drops = toxic.select(F.lit("delete").alias("op"), "doc_id", none.alias("source"), none.alias("lang"), none.alias("tokenizer"), F.lit(0).alias("tokens"))
+    toxic = base.select("doc_id", "key").join(table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id"), "doc_id", "left_semi")
+    drops = toxic.select(F.lit("delete").alias("op"), F.col("key").alias("doc_id"), none.alias("source"), none.alias("lang"), none.alias("tokenizer"), F.lit(0).alias("tokens"))
     for batch, events in (("1-load", first), ("2-exact", exact), ("3-takedown", drops)):
         ledger.commit(batch, events)
         ledger.commit(batch, events)

@@ -18,8 +18,9 @@ EVENT = "batch string, op string, doc_id bigint, source string, lang string, tok
 
 
 class TokenLedger:
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint") -> None:
+        """``id_type``: the type of ``doc_id``, for callers whose rows are told apart by more than a number."""
+        self.spark, self.path, self.id_type = spark, path.rstrip("/"), id_type
 
     def _files(self, path: str):
         jvm = self.spark.sparkContext._jvm
@@ -45,7 +46,7 @@ class TokenLedger:
 
     def changes(self, batches: list[str] | None = None) -> DataFrame:
         """Signed rows per document of all committed batches."""
-        schema = "doc_id bigint, source string, lang string, tokenizer string, tokens bigint, sign int"
+        schema = f"doc_id {self.id_type}, source string, lang string, tokenizer string, tokens bigint, sign int"
         return self._read("changes", schema, self.batches() if batches is None else batches)
 
     def current(self) -> DataFrame:

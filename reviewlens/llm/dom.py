@@ -8,7 +8,10 @@ from dataclasses import dataclass, field
 
 #: Fixed by the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+#: Elements that nest like others, but whose end tag reaches out of blocks and whose inside leaves the outside alone.
+NESTED = frozenset("svg math noscript template".split())
+FOREIGN = frozenset({"svg", "math"})
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4"
     " h5 h6 head header hgroup hr html li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
@@ -25,7 +28,7 @@ CLOSES = {
     "tbody": (frozenset({"tbody", "thead", "tfoot"}), frozenset({"table"})),
     "tfoot": (frozenset({"tbody", "thead", "tfoot"}), frozenset({"table"})),
 }
-P_FENCE = frozenset("td th caption button object table body html".split())
+P_FENCE = NESTED | frozenset("td th caption button object table body html".split())
 NO_P = BLOCK - {"body", "html", "head", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "frameset"}
 
 _TAG = re.compile(
@@ -60,6 +63,8 @@ def parse(page: str) -> Node:
     """The tree of a page. Broken markup never fails: open elements end with their parent, stray end tags are ignored."""
     root = Node("#page", {}, None)
     at, here = 0, root
+    nested: list[Node] = []
+    ended: set[int] = set()
     end = len(page)
     while at < end:
         lt = page.find("<", at)
@@ -80,26 +85,41 @@ def parse(page: str) -> Node:
         if not name:
             continue
         if m["end"]:
+            if name in NESTED:
+                ended.add(id(_open(here, name)))
             here = _close(here, name)
             continue
         if name in BLOCK:
             here = _make_room(here, name)
         node = Node(name, _attributes(m["attrs"]), here)
         here.items.append(node)
-        if name in RAW:
+        empty = m["attrs"].endswith("/")
+        if name in NESTED and not (empty and name in FOREIGN):
+            nested.append(node)
+        if name in RAW and not (empty and any(_open(here, x) for x in FOREIGN)):
             closing = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
             node.items.append(page[at : closing.start()] if closing else page[at:])
             if closing is None:
                 break
             gt = page.find(">", closing.start())
             at = gt + 1 if gt >= 0 else end
-        elif name not in VOID and not m["attrs"].endswith("/"):
+        elif name not in VOID and not (empty and name not in ("noscript", "template")):
             here = node
         elif name not in VOID and name in BLOCK:
             here = node  # a slash in the tag of a non-void element has no meaning in HTML
+    for node in nested:
+        if id(node) not in ended and node.tag != "math":
+            node.tag = "span"  # never ended: what follows it is the page's own text
     return root
 
 
+def _open(here: Node | None, name: str) -> Node | None:
+    """The nearest open element of that name."""
+    while here is not None and here.tag != name:
+        here = here.parent
+    return here
+
+
 def _make_room(here: Node, name: str) -> Node:
     if name in NO_P:
         x: Node | None = here
@@ -111,7 +131,7 @@ def _make_room(here: Node, name: str) -> Node:
     if name in CLOSES:
         kinds, fence = CLOSES[name]
         x = here
-        while x is not None and x.tag not in fence:
+        while x is not None and x.tag not in fence and x.tag not in NESTED:
             if x.tag in kinds:
                 here = x.parent or here
             x = x.parent
@@ -124,7 +144,7 @@ def _close(here: Node, name: str) -> Node:
         if x.tag == name:
             return x.parent or here
         # An inline end tag does not reach out of the block it is in.
-        if name not in BLOCK and x.tag in BLOCK and x.tag != "p":
+        if name not in BLOCK and name not in NESTED and x.tag in BLOCK and x.tag != "p":
             return here
         x = x.parent
     return here

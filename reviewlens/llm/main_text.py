@@ -46,7 +46,7 @@ _TAG_GROUP = {t: k for k, ts in enumerate(TAGS.values()) for t in ts}
 LANDMARKS = {"article", "main"}
 NEVER = {"nav", "header", "footer", "aside", "form", "head", "dialog", "menu", "fieldset", "search"}
 #: Inline elements whose text is not prose.
-SILENT = RAW | {"button", "select", "input", "head"}
+SILENT = RAW | {"button", "select", "input", "head", "svg", "noscript", "template", "annotation", "annotation-xml"}
 NAMES = [
     *[f"is_{t}" for t in TAGS], *[f"own_{w}" for w in WORDS], *[f"above_{w}" for w in WORDS], "depth", "chars", "share", "link_share", "tags_per_char",
     "blocks", "chars_per_block", "stops", "place", "siblings", "sibling_chars", "form_controls", "paragraph_share", "above_never", "above_landmark",

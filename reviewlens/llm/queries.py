@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, main_text, mixing, near_dup, quality, rollup
+from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, lexical, main_text, mixing, near_dup, quality, rollup
 from reviewlens.llm.common import table, word_count, written
 from reviewlens.session import configure, scratch_path
 
@@ -181,3 +181,30 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No twin: tests compare with the exact links of all pairs on small tables."""
     return near_dup.components_of(table(spark, sf_dir, "documents"))
+
+
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op11_lexical_search",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+    s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS n_all FROM d WHERE len(ts) > 0),
+    q AS (
+      SELECT i, item_id, term, count(*) AS times FROM (
+        SELECT i, item_id, unnest(ts) AS term FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS ts FROM benchmark)) GROUP BY ALL),
+    t AS (
+      SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+    w AS (
+      SELECT term, floor(1000::DOUBLE * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM t GROUP BY term), s),
+    p AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_all))) AS points FROM t JOIN w USING (term), s),
+    c AS (SELECT i, item_id, r, doc_id, sum(times * points)::BIGINT AS score FROM q JOIN p USING (term) GROUP BY ALL)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM c WHERE score > 0) WHERE rank <= 10
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, lexical, main_text, mixing, near_dup, quality, rollup
+from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, lexical, main_text, mixing, near_dup, quality, rollup, spotsigs
 from reviewlens.llm.common import table, word_count, written
 from reviewlens.session import configure, scratch_path
 
@@ -208,3 +208,9 @@ _TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRST
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_spot_signatures")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: signatures are hashed. Tests compare with a brute-force version."""
+    return spotsigs.with_next(table(spark, sf_dir, "documents"))

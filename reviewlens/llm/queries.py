@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, lexical, main_text, mixing, near_dup, quality, rollup, spotsigs
+from reviewlens.llm import bpe, chat, compression, extendible, hash_tree, lexical, main_text, mixing, near_dup, quality, repair, rollup, spotsigs
 from reviewlens.llm.common import table, word_count, written
 from reviewlens.session import configure, scratch_path
 
@@ -214,3 +214,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No twin: signatures are hashed. Tests compare with a brute-force version."""
     return spotsigs.with_next(table(spark, sf_dir, "documents"))
+
+
+@query("op13_structure_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: a CRC and the cheapest of all edits. Tests compare with all edits of small conversations."""
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))

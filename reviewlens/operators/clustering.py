@@ -10,17 +10,15 @@ noise. Everything after the assignment works on tables of at most ``pivots`` cel
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from reviewlens import config as cfg
 from reviewlens.operators.dedup import keep_top
+from reviewlens.operators.ivf import neighbours as neighbours
 from reviewlens.operators.vectors import CENTROID_BLOCK, nearest
 from reviewlens.session import ensure_checkpoint_dir
 
@@ -137,64 +135,6 @@ def density_clusters(
     return placed.unionByName(no_vector)
 
 
-def _closest(q: np.ndarray, y: np.ndarray, k: int, same: bool, chunk: int = 256, pairs: int = 100_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each row of ``q`` the ``k`` closest rows of ``y``: positions in both and distances. ``same``: q is y, and no row finds itself.
-
-    A matrix product rules rows out, with room for its rounding; what is left is measured exactly. Ties go to the first row of ``y``.
-    """
-    k = min(k, len(y) - same)
-    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-    squares = (y**2).sum(axis=1)
-    for start in range(0, len(q) if k > 0 else 0, chunk):
-        part = q[start : start + chunk]
-        own = (part**2).sum(axis=1)
-        rough = np.maximum(own[:, None] - 2 * (part @ y.T) + squares[None, :], 0.0)
-        if same:
-            rough[np.arange(len(part)), np.arange(start, start + len(part))] = np.inf
-        kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
-        r, c = np.nonzero(rough <= ((np.sqrt(kth) + 2e-9) ** 2 + 1e-12 * (own + squares.max()))[:, None])
-        d = [np.sqrt(((part[r[at : at + pairs]] - y[c[at : at + pairs]]) ** 2).sum(axis=1)) for at in range(0, len(r), pairs)]
-        d = np.floor(np.concatenate(d) * 1e9 + 0.5) / 1e9
-        order = np.lexsort((c, d, r))
-        r, c, d = r[order], c[order], d[order]
-        keep = np.arange(len(r)) - np.searchsorted(r, r) < k
-        out.append((r[keep] + start, c[keep], d[keep]))
-    return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def neighbours(df: DataFrame, key: str, k: int = 5, vec: str = "embedding", pivots: int | None = None, block: int = 8192) -> DataFrame:
-    """(key, neighbour, rank, distance): the ``k`` nearest of all other rows, exactly.
-
-    Rows are dealt into blocks of about ``block`` by a hash of their key, and every two blocks meet in a task of bounded size,
-    which keeps ``k`` rows for each of its rows; these are merged. The work grows with the square of the rows; the size of a
-    task, and what one vector on a third of the table costs a task, do not. Distances are rounded to nine decimals before they
-    are ranked; ties go to the lower key. ``pivots`` is accepted for older callers and has no effect.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    rows = df.filter(F.col(vec).isNotNull()).select(key, vec).checkpoint()
-    parts = max(1, -(-rows.count() // block))
-    code = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 12), 16, 10).cast("bigint")
-    dealt = rows.withColumn("part", F.pmod(code, F.lit(parts)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    met = dealt.select(key, vec, "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
-    schema = T.StructType([df.schema[key], T.StructField("neighbour", df.schema[key].dataType), T.StructField("distance", T.DoubleType())])
-
-    def near(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key)
-        low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
-        sides = [(p[key].to_numpy(), np.stack(p[vec].to_numpy()).astype("float64")) for p in (pdf[pdf["part"] == s] for s in {low, high}) if len(p)]
-        if low == high:
-            sides *= 2
-        out = []
-        for (ids, x), (others, y) in ([sides] if low == high else [sides, sides[::-1]]) if len(sides) == 2 else []:
-            r, c, d = _closest(x, y, k, low == high)
-            out.append(pd.DataFrame({key: ids[r], "neighbour": others[c], "distance": d}))
-        return pd.concat(out) if out else pd.DataFrame({key: pdf[key][:0], "neighbour": pdf[key][:0], "distance": np.zeros(0)})
-
-    found = met.groupBy("low", "high").applyInPandas(near, schema)
-    best = keep_top(found, [key], [F.col("distance"), F.col("neighbour")], k, "rank")
-    return best.select(key, "neighbour", F.col("rank").cast("int").alias("rank"), "distance")
-
-
 def kmeans_topics(df: DataFrame, k: int, vec: str = "embedding", seed: int = 42, min_size: int = 1) -> DataFrame:
     """The same table shape from bisecting k-means on cosine distance: every row gets a topic."""
     data = df.withColumn("__vec", array_to_vector(vec))

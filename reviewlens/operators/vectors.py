@@ -10,10 +10,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, HashingTF, IDF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewlens.operators.dedup import keep_top
 from reviewlens.operators.explode import to_rows
 from reviewlens.operators.lookup import join_small
 from reviewlens.operators.topics import with_terms
@@ -185,38 +186,109 @@ def reassign_outliers(df: DataFrame, vec: str = "embedding") -> DataFrame:
     return moved.drop("near", "exp_sum", "__asked").withColumn("was_outlier", F.coalesce(F.col("topic_before") == -1, F.lit(False)))
 
 
-def merge_topics(centroids: DataFrame, max_topics: int, keys: list[str] | None = None, limit: int = 10_000) -> DataFrame:
-    """topic_id -> merged_topic: the smallest topic joins its most similar one until ``max_topics`` are left.
+#: Topics that may be merged in one round over all fields together; their vectors pass through the driver.
+MERGE_BATCH = 4096
 
-    Works on the centroid table alone (topic_id, centroid, n_vectors). Its size is checked: merging is sequential, so a
-    field with more than ``limit`` topics needs a larger min topic size first.
+
+def _similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosine similarities in units of 10^-12, so that ties are ties on every path."""
+    unit = [x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) for x in (a, b)]
+    return np.floor(unit[0] @ unit[1].T * 1e12 + 0.5)
+
+
+def _settled(movers: list, targets: dict) -> list[tuple]:
+    """The first merges of one field's round that the sequential rule makes too: (small topic, target, new vector, new size).
+
+    Movers come smallest first. One is not settled if a merge before it has taken or changed it or its target, or has made a
+    topic that it is closer to; the round ends there. The first mover always is.
+    """
+    out, touched, changed = [], set(), []
+    for m in movers:
+        t = targets[m.topic_id]
+        if m.topic_id in touched or t.id in touched:
+            break
+        if changed:
+            new = _similarity(np.array([m.vec]), np.array([v for _, v in changed]))[0]
+            if any(s > t.similarity or (s == t.similarity and c < t.id) for s, (c, _) in zip(new, changed)):
+                break
+        size = t.size + m.size
+        vec = (np.array(t.vec) * t.size + np.array(m.vec) * m.size) / size
+        out.append((m.topic_id, t.id, [float(x) for x in vec], float(size)))
+        touched |= {m.topic_id, t.id}
+        changed.append((t.id, vec))
+    return out
+
+
+def merge_topics(centroids: DataFrame, max_topics: int, keys: list[str] | None = None, limit: int | None = None, batch: int = MERGE_BATCH) -> DataFrame:
+    """topic_id -> merged_topic: the smallest topic joins its most similar one until ``max_topics`` are left in every field.
+
+    Works on the centroid table (topic_id, centroid, n_vectors). Of equal sizes the highest id goes first, equal similarities
+    go to the lowest id. In each round up to ``batch`` of the smallest topics look for their nearest in one scan over all
+    centroids, and those merges are made that the sequential rule would make one after the other; so the result is the same,
+    and no field has to fit one task. ``limit`` lets a caller refuse fields with more topics.
     """
-    keys = keys or []
-    largest = centroids.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    if largest and largest > limit:
-        raise ValueError(f"{largest} topics to merge; raise the minimum topic size")
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("topic_id")
-        ids = pdf["topic_id"].to_numpy().copy()
-        size = pdf["n_vectors"].to_numpy("float64").copy()
-        vec = np.stack(pdf["centroid"].to_numpy()).astype("float64")
-        owner, alive = np.arange(len(ids)), np.ones(len(ids), bool)
-        while alive.sum() > max_topics:
-            live = np.flatnonzero(alive)
-            small = live[np.lexsort((-ids[live], size[live]))[0]]
-            others = live[live != small]
-            unit = vec[others] / np.maximum(np.linalg.norm(vec[others], axis=1, keepdims=True), 1e-300)
-            into = others[np.argmax(unit @ vec[small])]
-            vec[into] = (vec[into] * size[into] + vec[small] * size[small]) / (size[into] + size[small])
-            size[into] += size[small]
-            alive[small] = False
-            owner[owner == small] = into
-        return pdf.assign(merged_topic=ids[owner])[[*keys, "topic_id", "merged_topic"]]
-
-    schema = T.StructType([centroids.schema[k] for k in keys] + [T.StructField("topic_id", T.IntegerType()),
-                                                                T.StructField("merged_topic", T.IntegerType())])
-    return centroids.groupBy(*keys).applyInPandas(merge, schema)
+    spark, keys = centroids.sparkSession, keys or []
+    ensure_checkpoint_dir(spark)
+    if limit is not None:
+        largest = centroids.groupBy(*keys).count().agg(F.max("count")).first()[0]
+        if largest and largest > limit:
+            raise ValueError(f"{largest} topics to merge; raise the minimum topic size")
+    field = F.to_json(F.struct(*keys, F.lit(0).alias("__"))) if keys else F.lit("")
+    state = centroids.select(
+        *keys, field.alias("__field"), F.col("topic_id").cast("int").alias("topic_id"), F.col("topic_id").cast("int").alias("merged_topic"),
+        F.col("centroid").cast("array<double>").alias("__vec"), F.col("n_vectors").cast("double").alias("__size"),
+    ).checkpoint()
+    found_type = "m int, best struct<similarity:double,minus:int,size:double,vec:array<double>>"
+    merge_type = "__field string, __small int, __into int, __new_vec array<double>, __new_size double"
+    while True:
+        alive = state.filter(F.col("__vec").isNotNull())
+        open_fields = alive.groupBy("__field").agg((F.count(F.lit(1)) - max_topics).alias("__over")).filter("__over > 0")
+        chosen = open_fields.orderBy("__field").limit(batch).collect()  # a field a row, ``batch`` at most
+        if not chosen:
+            return state.select(*keys, "topic_id", "merged_topic")
+        each = max(1, batch // len(chosen))
+        over = F.broadcast(spark.createDataFrame([(r["__field"], min(r["__over"], each)) for r in chosen], "__field string, __take long"))
+        smallest = keep_top(alive, ["__field"], [F.col("__size"), F.col("topic_id").desc()], each, "__rank")
+        movers = smallest.join(over, "__field").filter("__rank <= __take").select("__field", "__rank", "topic_id", F.col("__vec").alias("vec"), F.col("__size").alias("size")).collect()
+        movers.sort(key=lambda r: (r["__field"], r["__rank"]))
+        of_field: dict[str, list[int]] = {}
+        for n, r in enumerate(movers):
+            of_field.setdefault(r["__field"], []).append(n)
+        matrix, own = np.array([r.vec for r in movers], "float64"), np.array([r.topic_id for r in movers])
+
+        def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best: dict[int, tuple] = {}
+            for pdf in frames:
+                for name, part in pdf.groupby("__field"):
+                    asking = of_field.get(name, [])
+                    if not asking:
+                        continue
+                    part = part.sort_values("topic_id")
+                    ids, x = part["topic_id"].to_numpy(), np.stack(part["__vec"].to_numpy()).astype("float64")
+                    s = _similarity(matrix[asking], x)
+                    s[own[asking][:, None] == ids[None, :]] = -np.inf
+                    for at, (m, c) in enumerate(zip(asking, s.argmax(axis=1))):
+                        key = (s[at, c], -int(ids[c]))
+                        if key[0] > -np.inf and (m not in best or key > best[m][:2]):
+                            best[m] = (*key, float(part["__size"].iloc[c]), x[c].tolist())
+            rows = [(m, dict(zip(("similarity", "minus", "size", "vec"), b))) for m, b in best.items()]
+            yield pd.DataFrame(rows, columns=["m", "best"])
+
+        reached = alive.select("__field", "topic_id", "__vec", "__size").mapInPandas(scan, found_type).groupBy("m").agg(F.max("best").alias("best"))
+        nearest_of = {r.m: Row(id=-r.best.minus, similarity=r.best.similarity, size=r.best["size"], vec=r.best.vec) for r in reached.collect()}
+        merges = []
+        for name, asking in of_field.items():
+            targets = {movers[n].topic_id: nearest_of[n] for n in asking}
+            merges += [(name, *m) for m in _settled([movers[n] for n in asking], targets)]
+        made = spark.createDataFrame(merges, merge_type)
+        gone = F.broadcast(made.select("__field", F.col("__small").alias("merged_topic"), F.col("__into").alias("__to")))
+        grown = F.broadcast(made.select("__field", F.col("__into").alias("topic_id"), "__new_vec", "__new_size"))
+        taken = F.broadcast(made.select("__field", F.col("__small").alias("topic_id"), F.lit(True).alias("__taken")))
+        moved = state.join(gone, ["__field", "merged_topic"], "left").join(grown, ["__field", "topic_id"], "left").join(taken, ["__field", "topic_id"], "left")
+        state = moved.select(
+            *keys, "__field", "topic_id", F.coalesce("__to", "merged_topic").alias("merged_topic"),
+            F.when(F.col("__taken").isNull(), F.coalesce("__new_vec", "__vec")).alias("__vec"), F.coalesce("__new_size", "__size").alias("__size"),
+        ).checkpoint()
 
 
 def keyphrases(docs: DataFrame, candidates: DataFrame, stop: list[str], n: int = 10) -> DataFrame:
@@ -224,8 +296,6 @@ def keyphrases(docs: DataFrame, candidates: DataFrame, stop: list[str], n: int =
 
     ``docs``: doc id, text, embedding, topic_id. ``candidates``: topic_id, term (a short list per topic).
     """
-    from reviewlens.operators.dedup import keep_top
-
     centroids = mean_vectors(docs, ["topic_id"]).select("topic_id", "centroid")
     terms = with_terms(docs.select("topic_id", "embedding", "text"), stop)
     # The candidates of a topic are a short list: documents keep only those of their terms, and the vector is copied for these.

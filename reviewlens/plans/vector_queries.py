@@ -102,28 +102,24 @@ SELECT {key}, list(m ORDER BY d) AS c FROM (SELECT {key}, d, avg(v) AS m FROM {D
 # -- queries --------------------------------------------------------------------------------
 
 
-KNN, KNN_BLOCK = 5, 64
+KNN, KNN_EVERY = 5, 20
 
 
 @query(
     "tm_knn",
     with_sql(
-        *GRAPH[:3],
-        ("v_size", f"SELECT cell, CAST(ceil(count(*) / {KNN_BLOCK}.0::DOUBLE) AS BIGINT) AS parts FROM v_near GROUP BY cell"),
-        ("v_place", """
-SELECT n.vec_id, v.x, n.cell, ('0x' || substr(md5(CAST(n.vec_id AS VARCHAR)), 1, 12))::BIGINT % s.parts AS part
-FROM v_near n JOIN v_vec v USING (vec_id) JOIN v_size s USING (cell)"""),
+        V_VEC,
         ("v_pair", f"""
 SELECT a.vec_id, b.vec_id AS neighbour, {r("list_distance(a.x, b.x)", 9)} AS distance
-FROM v_place a JOIN v_place b ON a.cell = b.cell AND a.part = b.part AND a.vec_id <> b.vec_id"""),
+FROM v_vec a JOIN v_vec b ON a.vec_id <> b.vec_id WHERE a.vec_id % {KNN_EVERY} = 0"""),
         query=f"""
 SELECT vec_id, neighbour, CAST(rn AS INTEGER) AS rank, {r("distance", 6)} AS distance
 FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS rn FROM v_pair) WHERE rn <= {KNN}""",
     ),
 )
 def tm_knn(spark, sf):
-    """Exact over all rows. The twin still has the blocks of the former version, so it differs."""
-    near = cl.neighbours(embeddings(spark, sf), "vec_id", KNN)
+    """Every row whose id is divisible by 20 asks all rows. The twin compares all pairs."""
+    near = cl.neighbours(embeddings(spark, sf), "vec_id", KNN, queries=F.col("vec_id") % KNN_EVERY == 0)
     return near.withColumn("distance", round_half_up(F.col("distance"), 6))
 
 
@@ -229,17 +225,31 @@ def agg_outlier_rate(spark, sf):
 
 
 FINE_TOPICS = "SELECT DISTINCT CAST(label * 4 + vec_id % 4 AS INTEGER) AS topic_id FROM embeddings"
-
-
-@query("tm_merge_topics", f"SELECT topic_id, 10::BIGINT AS n_merged, true AS into_topic FROM ({FINE_TOPICS})")
+MERGED = 10
+# One step of the rule a row: the topics left, each with the topics that it has taken.
+MERGE_SQL = f"""
+WITH RECURSIVE v_fine AS (SELECT CAST(label * 4 + vec_id % 4 AS INTEGER) AS topic_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+v_mean AS (SELECT topic_id, list(m ORDER BY d) AS v FROM (SELECT topic_id, d, avg(u) AS m FROM (
+  SELECT topic_id, unnest(x) AS u, unnest(range(1, len(x) + 1)) AS d FROM v_fine) GROUP BY topic_id, d) GROUP BY topic_id),
+v_topic AS (SELECT topic_id, v, (SELECT count(*) FROM v_fine f WHERE f.topic_id = m.topic_id)::DOUBLE AS size FROM v_mean m),
+v_step AS (
+  SELECT 0 AS step, list({{'id': topic_id, 'size': size, 'v': v, 'has': [topic_id]}} ORDER BY topic_id) AS topics FROM v_topic
+  UNION ALL
+  SELECT step + 1, list_transform(others, lambda x: CASE WHEN x.id = list_min(near).id
+      THEN {{'id': x.id, 'size': x.size + small.size, 'v': list_transform(list_zip(x.v, small.v), lambda p: (p[1] * x.size + p[2] * small.size) / (x.size + small.size)),
+             'has': x.has || small.has}} ELSE x END)
+  FROM (SELECT step, small, others, list_transform(others, lambda x: {{'s': -floor(list_cosine_similarity(x.v, small.v) * 1e12::DOUBLE + 0.5::DOUBLE), 'id': x.id}}) AS near
+    FROM (SELECT step, small, list_filter(topics, lambda x: x.id <> small.id) AS others
+      FROM (SELECT step, topics, list_filter(topics, lambda x: x.id = -first_.minus)[1] AS small
+        FROM (SELECT step, topics, list_min(list_transform(topics, lambda x: {{'size': x.size, 'minus': -x.id}})) AS first_ FROM v_step WHERE len(topics) > {MERGED})))))
+SELECT CAST(unnest(t.has) AS INTEGER) AS topic_id, CAST(t.id AS INTEGER) AS merged_topic
+FROM (SELECT unnest(topics) AS t FROM v_step WHERE step = (SELECT max(step) FROM v_step))"""
+
+
+@query("tm_merge_topics", MERGE_SQL)
 def tm_merge_topics(spark, sf):
     vectors = embeddings(spark, sf).withColumn("topic_id", (F.col("label") * 4 + F.col("vec_id") % 4).cast("int"))
-    merged = ve.merge_topics(ve.mean_vectors(vectors, ["topic_id"]), 10)
-    n = merged.select(F.countDistinct("merged_topic").alias("n")).scalar()
-    # A topic that others join stays itself.
-    heads = merged.filter("topic_id = merged_topic").select(F.col("topic_id").alias("merged_topic"), F.lit(True).alias("__head"))
-    found = merged.join(heads, "merged_topic", "left")
-    return found.select("topic_id", n.alias("n_merged"), F.coalesce("__head", F.lit(False)).alias("into_topic"))
+    return ve.merge_topics(ve.mean_vectors(vectors, ["topic_id"]), MERGED)
 
 
 def long_topics(spark, sf):

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from reviewlens.functions.numeric import round_half_up
 from reviewlens.operators import conform
-from reviewlens.operators.dedup import keep_top, latest_version
+from reviewlens.operators.dedup import latest_version
+from reviewlens.streaming.changes import ChangeTable
 
 LANDING_SCHEMA = "source_actor string, product_key string, scraped_at string, item_json string"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -25,64 +30,88 @@ def keep_state_on_disk(spark: SparkSession) -> None:
         spark.conf.set(_PROVIDER, _ROCKSDB)
 
 
-def normalized_batch(checked: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Accepted items of one batch -> unified reviews, the earliest copy of an id first."""
-    unified = conform.unify(conform.accepted(checked).drop("item_json"), dimension)
-    timed = unified.withColumn("scraped_ts", F.try_to_timestamp("scraped_at"))
-    return keep_top(timed, ["review_id"], [F.col("scraped_ts").asc_nulls_last(), F.col("product_id"), F.xxhash64(*timed.columns)])
+ORDER = ["scraped_ts", "product_id", "row_hash"]
+_STATE = "seen boolean"
+
+
+def _earliest(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The first copy of each id: by time of scraping (unknown last), then product, then a hash of the row."""
+    return pdf.assign(late=pdf["scraped_ts"].isna()).sort_values(["review_id", "late", *ORDER]).drop_duplicates("review_id").drop(columns="late")
+
+
+def first_copies(rows: DataFrame) -> DataFrame:
+    """From a stream of unified reviews the first copy of every id, over everything that has ever come.
+
+    Within a micro-batch the earliest copy wins, and an id that an earlier batch has brought is dropped. That an id has been
+    seen is keyed state in Spark's state store, so a micro-batch touches the ids it holds and no others. Copies are thinned
+    where they are read, so an id on many rows reaches its state as a few.
+    """
+    timed = rows.withColumn("scraped_ts", F.try_to_timestamp("scraped_at"))
+    packed = timed.select(
+        "review_id", F.unix_micros("scraped_ts").cast("double").alias("scraped_ts"), F.coalesce("product_id", F.lit("")).alias("product_id"),
+        F.xxhash64(*timed.columns).cast("string").alias("row_hash"), F.to_json(F.struct(*timed.columns)).alias("row"),
+    )
+
+    def thin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield _earliest(pdf)
+
+    def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best = None
+        for pdf in frames:
+            best = _earliest(pdf if best is None else pd.concat([best, pdf]))
+        if not state.exists and best is not None:
+            state.update((True,))
+            yield best[["row"]]
+
+    thinned = packed.mapInPandas(thin, packed.schema)
+    found = thinned.groupBy("review_id").applyInPandasWithState(first, "row string", _STATE, "append", GroupStateTimeout.NoTimeout)
+    return found.select(F.from_json("row", timed.schema).alias("row")).select("row.*")
 
 
 def run_ingest(spark: SparkSession, landing: str, dimension: DataFrame, out: str, checkpoint: str, rejects: str | None = None) -> StreamingQuery:
     """Landed JSON lines -> unified reviews; the first copy of an id wins over everything that has ever been ingested.
 
-    Each micro-batch is compared with the ids already written (one column of the output is read), so nothing is too late: a
-    back-fill of old snapshots arrives like any other. Items that cannot be used go to ``rejects`` with their reason. Each
-    batch owns a folder in both tables; a replayed batch replaces its own rows only.
+    Ids that have been seen are state (see ``first_copies``), so nothing is too late: a back-fill of old snapshots arrives like
+    any other, and its cost follows its own size. Items that cannot be used go to ``rejects`` with their reason, by a query
+    and a checkpoint of their own. Each batch owns a folder in both tables; a replayed batch replaces its own rows only.
     """
     rejects = rejects or f"{out}_rejects"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        checked = conform.with_reject_reason(batch)
-        refused = checked.filter(F.col("reject_reason").isNotNull()).select(*batch.columns, "reject_reason")
-        refused.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-        fresh = normalized_batch(checked, dimension)
-        earlier = [p for p in _folders(session, out) if p != f"batch_id={batch_id}"]
-        if earlier:
-            seen = session.read.parquet(*[f"{out}/{p}" for p in earlier]).select("review_id")
-            fresh = fresh.join(seen, "review_id", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
+    keep_state_on_disk(spark)
     raw = spark.readStream.schema(LANDING_SCHEMA).option("recursiveFileLookup", "true").json(landing)
-    query = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    checked = conform.with_reject_reason(raw)
+    refused = checked.filter(F.col("reject_reason").isNotNull()).select(*raw.columns, "reject_reason")
+    fresh = first_copies(conform.unify(conform.accepted(checked).drop("item_json"), dimension))
+    query = None
+    for rows, target, at in ((refused, rejects, f"{checkpoint}_rejects"), (fresh, out, checkpoint)):
+        query = rows.writeStream.foreachBatch(_append_batches(target)).option("checkpointLocation", at).trigger(availableNow=True).start()
+        query.awaitTermination()
     return query
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Finished batch folders under a path."""
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(fs_path):
-        return []
-    done = lambda p: fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
-    return sorted(s.getPath().getName() for s in fs.listStatus(fs_path) if s.isDirectory() and done(s.getPath()))
-
-
 def compact(spark: SparkSession, out: str, keys: list[str], order: list[Column], target: str) -> int:
     """Write the latest row per key of a change table to ``target``, as its first batch; returns the number of rows.
 
-    Readers of ``target`` rank the compacted rows and later batches only. Point the stream's writer there afterwards.
+    For moving a table elsewhere; the jobs fold their own tables. Point the stream's writer at ``target`` afterwards.
     """
     latest_version(spark.read.parquet(out), keys, order).drop("batch_id").write.mode("overwrite").parquet(f"{target}/batch_id=-1")
     return spark.read.parquet(f"{target}/batch_id=-1").count()
 
 
-def _append_batches(out: str, prepare=lambda df: df):
+def _append_batches(out: str):
     """A foreachBatch writer: each batch owns one folder, so a replayed batch replaces its own rows only."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        prepare(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return write
+
+
+def _append_changes(out: str, keys: list[str], order: list[str], options: dict):
+    """A foreachBatch writer into a table of changes, which folds itself."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ChangeTable(batch.sparkSession, out, keys, order, **options).append(batch, batch_id)
 
     return write
 
@@ -105,12 +134,15 @@ def trend_rows(agg: DataFrame, key: str, digits: int = 2) -> DataFrame:
     )
 
 
-def run_trend(events: DataFrame, ts: str, key: str, value: Column, out: str, checkpoint: str, lateness: str = "2 days", **windows) -> None:
-    """Write the windows that changed in each batch; ``current_trend`` gives the last state of each."""
+def run_trend(
+    events: DataFrame, ts: str, key: str, value: Column, out: str, checkpoint: str, lateness: str = "2 days", table: dict | None = None, **windows
+) -> None:
+    """Write the windows that changed in each batch; ``current_trend`` gives the last state of each. ``table``: options of the
+    table of changes, which the job folds as it grows."""
     keep_state_on_disk(events.sparkSession)
     agg = rating_trend(events.withWatermark(ts, lateness), ts, key, value, **windows)
     (
-        agg.writeStream.foreachBatch(_append_batches(out))
+        agg.writeStream.foreachBatch(_append_changes(out, ["window", key], [], table or {}))
         .option("checkpointLocation", checkpoint)
         .outputMode("update")
         .trigger(availableNow=True)
@@ -120,15 +152,13 @@ def run_trend(events: DataFrame, ts: str, key: str, value: Column, out: str, che
 
 
 def current_trend(spark: SparkSession, out: str, key: str) -> DataFrame:
-    changes = spark.read.parquet(out)
-    return trend_rows(latest_version(changes, ["window", key], [F.col("batch_id").desc()]), key)
+    return trend_rows(ChangeTable(spark, out, ["window", key]).current(), key)
 
 
-def run_upserts(rows: DataFrame, key: str, version: str, out: str, checkpoint: str) -> None:
-    """Append the newest version of each key in a batch to the change table."""
-    newest = lambda df: latest_version(df, [key], [F.col(version).desc()])
+def run_upserts(rows: DataFrame, key: str, version: str, out: str, checkpoint: str, table: dict | None = None) -> None:
+    """Append the newest version of each key in a batch to a table of changes, which the job folds as it grows."""
     (
-        rows.writeStream.foreachBatch(_append_batches(out, newest))
+        rows.writeStream.foreachBatch(_append_changes(out, [key], [version], table or {}))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -137,6 +167,5 @@ def run_upserts(rows: DataFrame, key: str, version: str, out: str, checkpoint: s
 
 
 def current_rows(spark: SparkSession, out: str, key: str, version: str) -> DataFrame:
-    """Latest version of every key over all batches."""
-    changes = spark.read.parquet(out)
-    return latest_version(changes, [key], [F.col(version).desc(), F.col("batch_id").desc()]).drop("batch_id")
+    """Latest version of every key over all batches; of equal versions the later batch's."""
+    return ChangeTable(spark, out, [key], [version]).current().drop("batch_id")

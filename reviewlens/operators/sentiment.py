@@ -14,6 +14,7 @@ from reviewlens.functions import scoring as sc
 from reviewlens.functions import text as tx
 from reviewlens.functions.numeric import exact_avg, round_half_up, share_pct
 from reviewlens.operators.explode import to_rows
+from reviewlens.session import ensure_checkpoint_dir
 
 # -- rows and sentences -----------------------------------------------------------
 
@@ -92,11 +93,23 @@ def score_with_lexicon(df: DataFrame, lexicon: dict[str, int] | None = None) ->
     return with_rating(hits, probabilities).drop("__words", "__pos", "__neg")
 
 
+#: A pair on more than this part of all rows is heavy. There are fewer such pairs than that, whatever the data.
+HEAVY_PART = 1000
+
+
+def pair_key(sentence: Column, aspect: Column) -> Column:
+    """128 bits that stand for a (sentence, aspect) pair; null differs from every text."""
+    part = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    return F.md5(F.concat(part(sentence), F.lit("|"), part(aspect)).cast("binary"))
+
+
 def infer(
     df: DataFrame,
     scorer_factory: Callable[[], AspectScorer],
     batch_size: int = 128,
     partitions: int | None = None,
+    key: Callable[[Column, Column], Column] = pair_key,
+    heavy_part: int = HEAVY_PART,
 ) -> DataFrame:
     """Score (sentence, aspect) pairs with a plugged-in model and join the scores back.
 
@@ -104,11 +117,17 @@ def infer(
     ``pair`` to one with ``positive``, ``neutral``, ``negative``. Every distinct pair is scored once; the distinct
     also spreads the pairs evenly over tasks, so a sentence copied many times costs one call. A class the model
     does not have falls back to 0.33 / 0.34 / 0.33.
+
+    The rows are written once with the ``key`` of their pair, so what made them runs once. Scores come back over the key, not
+    over the text: those of heavy pairs are broadcast, so a sentence on a third of all rows stays where its rows are, and the
+    others go by a shuffle in which no key has more rows than ``1 / heavy_part`` of all. Different pairs that share a key are
+    found when the keys are counted; rows of such keys also compare the texts. Rows without a sentence are not scored.
     """
     missing = {"positive": 0.33, "neutral": 0.34, "negative": 0.33}
-    pairs = df.select("sentence", "aspect_term").distinct()
-    if partitions:
-        pairs = pairs.repartition(partitions, "sentence", "aspect_term")
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.withColumn("__pair", key(F.col("sentence"), F.col("aspect_term"))).checkpoint()
+    counted = rows.filter(F.col("sentence").isNotNull()).groupBy("__pair", "sentence", "aspect_term").agg(F.count(F.lit(1)).alias("__n"))
+    pairs = counted.repartition(partitions, "__pair") if partitions else counted
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = scorer_factory()
@@ -116,18 +135,31 @@ def infer(
             for start in range(0, len(big), batch_size):
                 pdf = big.iloc[start : start + batch_size].reset_index(drop=True)
                 pdf["pair"] = pdf["sentence"] + " [SEP] " + pdf["aspect_term"]
-                scores = scorer(pdf)
-                out = pdf[["sentence", "aspect_term"]].copy()
+                scores = scorer(pdf[["sentence", "aspect_term", "pair"]])
+                out = pdf[["__pair", "sentence", "aspect_term", "__n"]].copy()
                 for name, default in missing.items():
                     out[name] = scores[name].to_numpy("float64") if name in scores else default
                 yield out
 
     schema = T.StructType(
-        [T.StructField("sentence", T.StringType()), T.StructField("aspect_term", T.StringType()), *SCORE_SCHEMA.fields]
+        [*[T.StructField(c, T.StringType()) for c in ("__pair", "sentence", "aspect_term")], T.StructField("__n", T.LongType()), *SCORE_SCHEMA.fields]
     )
     scored = pairs.mapInPandas(run, schema)
-    rated = with_rating(scored, {k: F.col(k) for k in missing})
-    return df.join(rated, ["sentence", "aspect_term"], "left")
+    rated = with_rating(scored, {k: F.col(k) for k in missing}).checkpoint()
+    keys = rated.groupBy("__pair").agg((F.count(F.lit(1)) > 1).alias("__shared"), F.sum("__n").alias("__rows"))
+    scores = [c for c in rated.columns if c not in ("__pair", "sentence", "aspect_term", "__n")]
+    found = rated.join(keys, "__pair").select(
+        F.col("__pair").alias("__key"), "__shared", "__rows", *[F.when(F.col("__shared"), F.col(c)).alias(f"__{c}") for c in ("sentence", "aspect_term")],
+        *[F.col(c).alias(f"__s_{c}") for c in scores],
+    )
+    same = ~F.col("__shared") | (F.col("sentence").eqNullSafe(F.col("__sentence")) & F.col("aspect_term").eqNullSafe(F.col("__aspect_term")))
+    match = (F.col("__pair") == F.col("__key")) & same
+    bound = rows.count() // heavy_part
+    heavy = F.broadcast(found.filter(F.col("__rows") > bound))  # fewer than ``heavy_part`` keys
+    some = rows.join(heavy, match)
+    others = rows.join(heavy.select("__key").distinct(), F.col("__pair") == F.col("__key"), "left_anti").join(found.filter(F.col("__rows") <= bound), match, "left")
+    wanted = [*df.columns, *[F.col(f"__s_{c}").alias(c) for c in scores]]
+    return some.select(*wanted).unionByName(others.select(*wanted))
 
 
 # -- roll-ups ---------------------------------------------------------------------
@@ -239,16 +271,24 @@ def sort_net(net: DataFrame) -> DataFrame:
     return net.orderBy(F.col("product_name").asc(), F.col("net_rating").desc(), F.col("macro_group").asc())
 
 
-def heatmap(net: DataFrame, labels: list[str] | None = None, max_labels: int = 1000) -> DataFrame:
-    """Product x aspect pivot of the mean net rating. Give ``labels`` to save the pass that finds them."""
+def heatmap(net: DataFrame, labels: list[str] | None = None, max_labels: int = 1000, other: str = "other aspects") -> DataFrame:
+    """Product x aspect pivot of the mean net rating. Give ``labels`` to save the pass that finds them.
+
+    No aspect is lost: where ``labels`` are given, rows with any other label make a last column ``other``.
+    """
     rows = net.filter(F.col("group_label").isNotNull())
     if labels is None:
         found = [r[0] for r in rows.select("group_label").distinct().limit(max_labels + 1).collect()]
         if len(found) > max_labels:
-            raise ValueError(f"more than {max_labels} aspects; use the long net table instead of a pivot")
-        labels = sorted(found)
+            raise ValueError(f"more than {max_labels} aspects; give the labels of some, or use the long net table instead of a pivot")
+        named, columns = rows, sorted(found)
+    else:
+        if other in labels:
+            raise ValueError(f"{other!r} is a label; name the column of the others differently")
+        named = rows.withColumn("group_label", F.when(F.col("group_label").isin(labels), F.col("group_label")).otherwise(F.lit(other)))
+        columns = [*labels, other]
     mean = round_half_up(exact_avg(F.col("net_rating"), 2), 2)
-    return rows.groupBy("product_name").pivot("group_label", labels).agg(mean).orderBy("product_name")
+    return named.groupBy("product_name").pivot("group_label", columns).agg(mean).orderBy("product_name")
 
 
 def score_chain(classified: DataFrame, score: Callable[[DataFrame], DataFrame], threshold: float = 0.0) -> DataFrame:

@@ -186,10 +186,11 @@ def win_sort_net(spark, sf):
     return se.sort_net(ch.net(spark, sf)).select("product_name", "macro_group", "net_rating")
 
 
+_NAMED = ", ".join(f"'{g}'" for g in i.GROUP_LABELS)
 HEATMAP_SQL = "SELECT product_name, " + ", ".join(
-    f"""{r(f"sum(CAST(floor(net_rating * 100.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)) FILTER (group_label = '{g}')::DOUBLE "
-           f"/ (count(net_rating) FILTER (group_label = '{g}')::DOUBLE * 100.0::DOUBLE)", 2)} AS "{g}" """
-    for g in i.GROUP_LABELS
+    f"""{r(f"sum(CAST(floor(net_rating * 100.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)) FILTER ({rows})::DOUBLE "
+           f"/ (count(net_rating) FILTER ({rows})::DOUBLE * 100.0::DOUBLE)", 2)} AS "{g}" """
+    for g, rows in [*[(g, f"group_label = '{g}'") for g in i.GROUP_LABELS], ("other aspects", f"group_label NOT IN ({_NAMED})")]
 ) + " FROM v_net WHERE group_label IS NOT NULL GROUP BY product_name"
 
 

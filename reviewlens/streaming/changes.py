@@ -52,6 +52,11 @@ class ChangeTable:
 
     # -- what is there ---------------------------------------------------------------------
 
+    def _holds_rows(self, folder: str) -> bool:
+        """A batch without rows leaves a finished folder with nothing in it."""
+        at, fs = _path(self.spark, folder)
+        return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(at))
+
     def _commits(self) -> list[int]:
         return _numbers(finished(self.spark, f"{self.path}/_folds"), "commit")
 
@@ -70,7 +75,7 @@ class ChangeTable:
     def _changes(self, state: list[Row], only: list[int] | None = None) -> DataFrame | None:
         """Rows that no commit has folded, with batch_id and bucket."""
         least = min((r.upto for r in state), default=None)
-        batches = [n for n in _numbers(finished(self.spark, self.path), "batch_id") if least is None or n > least]
+        batches = [n for n in _numbers(finished(self.spark, self.path), "batch_id") if (least is None or n > least) and self._holds_rows(f"{self.path}/batch_id={n}")]
         if not batches:
             return None
         rows = self.spark.read.option("basePath", self.path).parquet(*[f"{self.path}/batch_id={n}" for n in batches])

@@ -83,6 +83,17 @@ def test_folding_reads_its_own_buckets_only(spark, tmp_path):
     assert len(folded) <= 1 and ("a", 2, 1) in read(table)
 
 
+def test_batches_without_rows(spark, tmp_path):
+    table = ChangeTable(spark, str(tmp_path / "t"), ["k"], ["version"], buckets=2, share=0.5)
+    none = spark.createDataFrame([], SCHEMA)
+    table.append(none, 0)
+    with pytest.raises(ValueError):
+        table.current()
+    table.append(spark.createDataFrame([("a", 1, 1)], SCHEMA), 1)
+    table.append(none, 2)
+    assert read(table) == {("a", 1, 1)}
+
+
 def test_streams_fold_as_they_go(spark, tmp_path):
     landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
     parts = batches(3, seed=4)

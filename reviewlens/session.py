@@ -69,17 +69,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete what this session has written to its scratch paths; returns their number.
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """The scratch paths handed out and not cleared, in that order."""
+    return list(_SCRATCH.get(spark.sparkContext.applicationId, []))
 
-    For the end of a job: frames that still read from them can no longer be computed. Only paths that ``scratch_path`` handed
-    out are touched. Checkpoints are Spark's own; ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes those.
+
+def clear_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete what this session has written to its scratch paths, or to some of them; returns their number.
+
+    For the end of a job or of a part of it: frames that still read from them can no longer be computed. Only paths that
+    ``scratch_path`` handed out are touched. Checkpoints are Spark's own; ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    removes those.
     """
-    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
-    for path in paths:
+    mine = scratch_paths(spark)
+    gone = mine if paths is None else [p for p in paths if p in mine]
+    _SCRATCH[spark.sparkContext.applicationId] = [p for p in mine if p not in gone]
+    for path in gone:
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    return len(paths)
+    return len(gone)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

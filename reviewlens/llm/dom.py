@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 #: Fixed by the HTML standard.
@@ -31,10 +33,7 @@ CLOSES = {
 P_FENCE = NESTED | frozenset("td th caption button object table body html".split())
 NO_P = BLOCK - {"body", "html", "head", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "frameset"}
 
-_TAG = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<[!?/](?P<bogus>[^>]*)(?:>|\Z)",
-    re.S,
-)
+_NAME_END, _STOP = re.compile(r"[\s/>]"), re.compile(r"[>\"']")
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
@@ -59,92 +58,154 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
+class _Tags:
+    """Finds where tags end in one page. Every answer is remembered as far as it holds, so a page of unclosed tags is read once."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, {c: page.rfind(c) for c in ">\"'"}
+        self.name_from, self.name_to, self.stop_from, self.stop_to = 0, -1, 0, -1
+        self.dead: set[int] = set()  # quotes from which no end of a tag is reached
+
+    def name_end(self, at: int) -> int:
+        if not self.name_from <= at <= self.name_to:
+            m = _NAME_END.search(self.page, at)
+            self.name_from, self.name_to = at, m.start() if m else len(self.page)
+        return self.name_to
+
+    def _stop(self, at: int) -> int:
+        if not self.stop_from <= at <= self.stop_to:
+            m = _STOP.search(self.page, at)
+            self.stop_from, self.stop_to = at, m.start() if m else len(self.page)
+        return self.stop_to
+
+    def end(self, at: int) -> int:
+        """Position of the ">" that ends the tag whose attributes begin at ``at``, or -1. A ">" in quotes is part of a value."""
+        tried = []
+        while at <= self.last[">"]:
+            stop = self._stop(at)
+            quote = self.page[stop]
+            if quote == ">":
+                return stop
+            if stop in self.dead or stop >= self.last[quote]:
+                break
+            tried.append(stop)
+            at = self.page.find(quote, stop + 1) + 1
+        self.dead.update(tried)
+        return -1
+
+
+class _Open:
+    """The open elements, innermost last, and by name: what a tag closes is found without walking up the tree."""
+
+    def __init__(self, root: Node):
+        self.chain = [root]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # depths of open blocks other than p
+
+    @property
+    def here(self) -> Node:
+        return self.chain[-1]
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.chain))
+        if node.tag in BLOCK and node.tag != "p":
+            self.blocks.append(len(self.chain))
+        self.chain.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Close the element at ``depth`` and all inside it."""
+        while len(self.chain) > depth:
+            node = self.chain.pop()
+            self.depths[node.tag].pop()
+            if self.blocks and self.blocks[-1] == len(self.chain):
+                self.blocks.pop()
+
+    def last(self, names: Iterable[str]) -> int:
+        """Depth of the innermost open element with one of the names; 0 if there is none."""
+        return max((d[-1] for n in names if (d := self.depths.get(n))), default=0)
+
+    def make_room(self, name: str) -> None:
+        """Close what an opening tag closes: a paragraph before a block, and the kinds named in ``CLOSES``."""
+        if name in NO_P and (p := self.last(("p",))) > self.last(P_FENCE):
+            self.cut(p)
+        if name in CLOSES:
+            kinds, fence = CLOSES[name]
+            inside = self.last(fence | NESTED)
+            found = [d[k] for n in kinds if (d := self.depths.get(n)) and (k := bisect.bisect_right(d, inside)) < len(d)]
+            if found:
+                self.cut(min(found))
+
+    def close(self, name: str) -> Node | None:
+        """Close the innermost element of that name. An inline end tag does not reach out of the block it is in."""
+        at = self.last((name,))
+        if not at or (name not in BLOCK and name not in NESTED and self.blocks and self.blocks[-1] > at):
+            return None
+        node = self.chain[at]
+        self.cut(at)
+        return node
+
+
 def parse(page: str) -> Node:
-    """The tree of a page. Broken markup never fails: open elements end with their parent, stray end tags are ignored."""
+    """The tree of a page, in time that grows with its length however it is broken.
+
+    Broken markup never fails: open elements end with their parent, stray end tags are ignored, and a "<" that opens no tag
+    is text. An element that is not ended, where only its end would tell what it holds (``NESTED``), holds nothing special.
+    """
     root = Node("#page", {}, None)
-    at, here = 0, root
+    tags, open_ = _Tags(page), _Open(root)
     nested: list[Node] = []
     ended: set[int] = set()
-    end = len(page)
+    at, end = 0, len(page)
     while at < end:
         lt = page.find("<", at)
         if lt < 0:
             lt = end
         if lt > at:
-            here.items.append(html.unescape(page[at:lt]))
+            open_.here.items.append(html.unescape(page[at:lt]))
         if lt == end:
             break
-        m = _TAG.match(page, lt)
-        if m is None:
-            # A "<" that opens no tag is text.
-            here.items.append("<")
-            at = lt + 1
+        if page.startswith("<!--", lt):
+            close = page.find("-->", lt + 4)
+            at = close + 3 if close >= 0 else end
             continue
-        at = m.end()
-        name = (m["name"] or "").lower()
-        if not name:
+        slash = page.startswith("/", lt + 1)
+        begin = lt + 1 + slash
+        letter = page[begin : begin + 1]
+        gt = -1
+        if letter.isascii() and letter.isalpha() and lt < tags.last[">"]:
+            stop = tags.name_end(begin)
+            gt = tags.end(stop)
+        if gt < 0:
+            if slash or page[lt + 1 : lt + 2] in ("!", "?"):
+                close = page.find(">", lt) if lt < tags.last[">"] else -1
+                at = close + 1 if close >= 0 else end
+            else:
+                open_.here.items.append("<")
+                at = lt + 1
             continue
-        if m["end"]:
-            if name in NESTED:
-                ended.add(id(_open(here, name)))
-            here = _close(here, name)
+        name, attrs, at = page[begin:stop].lower(), page[stop:gt], gt + 1
+        if slash:
+            node = open_.close(name)
+            if node is not None and name in NESTED:
+                ended.add(id(node))
             continue
         if name in BLOCK:
-            here = _make_room(here, name)
-        node = Node(name, _attributes(m["attrs"]), here)
-        here.items.append(node)
-        empty = m["attrs"].endswith("/")
+            open_.make_room(name)
+        node = Node(name, _attributes(attrs), open_.here)
+        open_.here.items.append(node)
+        empty = attrs.endswith("/")
         if name in NESTED and not (empty and name in FOREIGN):
             nested.append(node)
-        if name in RAW and not (empty and any(_open(here, x) for x in FOREIGN)):
+        if name in RAW and not (empty and open_.last(FOREIGN)):
             closing = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
             node.items.append(page[at : closing.start()] if closing else page[at:])
             if closing is None:
                 break
             gt = page.find(">", closing.start())
             at = gt + 1 if gt >= 0 else end
-        elif name not in VOID and not (empty and name not in ("noscript", "template")):
-            here = node
-        elif name not in VOID and name in BLOCK:
-            here = node  # a slash in the tag of a non-void element has no meaning in HTML
+        elif name not in VOID and (not empty or name in ("noscript", "template") or name in BLOCK):
+            open_.push(node)  # a slash in the tag of a non-void element has no meaning in HTML
     for node in nested:
         if id(node) not in ended and node.tag != "math":
             node.tag = "span"  # never ended: what follows it is the page's own text
     return root
-
-
-def _open(here: Node | None, name: str) -> Node | None:
-    """The nearest open element of that name."""
-    while here is not None and here.tag != name:
-        here = here.parent
-    return here
-
-
-def _make_room(here: Node, name: str) -> Node:
-    if name in NO_P:
-        x: Node | None = here
-        while x is not None and x.tag not in P_FENCE:
-            if x.tag == "p":
-                here = x.parent or here
-                break
-            x = x.parent
-    if name in CLOSES:
-        kinds, fence = CLOSES[name]
-        x = here
-        while x is not None and x.tag not in fence and x.tag not in NESTED:
-            if x.tag in kinds:
-                here = x.parent or here
-            x = x.parent
-    return here
-
-
-def _close(here: Node, name: str) -> Node:
-    x: Node | None = here
-    while x is not None:
-        if x.tag == name:
-            return x.parent or here
-        # An inline end tag does not reach out of the block it is in.
-        if name not in BLOCK and name not in NESTED and x.tag in BLOCK and x.tag != "p":
-            return here
-        x = x.parent
-    return here

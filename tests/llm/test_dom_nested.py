@@ -26,3 +26,16 @@ def texts(page):
 )
 def test_elements_that_are_no_raw_text(page, want):
     assert texts(page) == want
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<div>", "<div>x", "<", "<a \"", "<a<a", "<ul><li>", "<p><b>", "</ \"", "<svg>", "<!-- ", "<td>", "<i '>"])
+def test_broken_pages_take_time_in_proportion(piece):
+    """One megabyte of each, three times as long as an eighth of it and more at most in proportion (with room for noise)."""
+    import time
+
+    took = []
+    for size in (125_000, 1_000_000):
+        begun = time.time()
+        mt.blocks_of(dom.parse(piece * (size // len(piece)) + ">"))
+        took.append(time.time() - begun)
+    assert took[1] < 8 * 4 * max(took[0], 0.05) and took[1] < 20

@@ -38,29 +38,41 @@ def text_hash(norm: bytes) -> int:
 
 @dataclass
 class Directory:
-    """``slots[prefix of depth bits]`` is the bucket; a bucket with a local depth below ``depth`` fills several slots."""
+    """``slots[prefix of depth bits]`` is the bucket; a bucket with a local depth below ``depth`` fills several slots.
+
+    A bucket is known by its own prefix of ``local`` bits, so a split touches one bucket and doubling none; the slots are laid
+    out once, when they are asked for.
+    """
 
     depth: int = 0
-    slots: list[int] = field(default_factory=lambda: [0])
     local: list[int] = field(default_factory=lambda: [0])
-
-    def double(self) -> None:
-        self.depth += 1
-        self.slots = [b for b in self.slots for _ in (0, 1)]
+    prefix: list[int] = field(default_factory=lambda: [0])
+    laid: np.ndarray | None = None
 
     def split(self, bucket: int) -> None:
-        if self.local[bucket] == self.depth:
-            self.double()
-        own = [i for i, b in enumerate(self.slots) if b == bucket]
+        """The upper half of a bucket becomes a new one; where the bucket filled one slot, the directory doubles."""
         self.local[bucket] += 1
+        self.prefix[bucket] <<= 1
         self.local.append(self.local[bucket])
-        for i in own[len(own) // 2 :]:
-            self.slots[i] = len(self.local) - 1
+        self.prefix.append(self.prefix[bucket] + 1)
+        self.depth, self.laid = max(self.depth, self.local[bucket]), None
+
+    @property
+    def slots(self) -> list[int]:
+        return self._layout().tolist()
+
+    def _layout(self) -> np.ndarray:
+        if self.laid is None:
+            # In prefix order the buckets fill the slots from the first to the last.
+            free = np.array([self.depth - n for n in self.local])
+            order = np.argsort(np.array(self.prefix) << free)
+            self.laid = np.repeat(order, 1 << free[order]).astype(np.int32)
+        return self.laid
 
     def bucket_of(self, hashes: np.ndarray) -> np.ndarray:
         """Buckets of unsigned 64-bit hashes."""
         prefix = hashes >> np.uint64(64 - self.depth) if self.depth else np.zeros(len(hashes), np.uint64)
-        return np.asarray(self.slots, np.int32)[prefix.astype(np.int64)]
+        return self._layout()[prefix.astype(np.int64)]
 
 
 def grow_directory(counts: np.ndarray, bits: int, capacity: int, start: Directory | None = None) -> Directory:
@@ -73,11 +85,9 @@ def grow_directory(counts: np.ndarray, bits: int, capacity: int, start: Director
     queue = list(range(len(d.local)))
     while queue:
         b = queue.pop()
-        first = d.slots.index(b)
-        width = 1 << (bits - d.depth)
-        span = width * d.slots.count(b)
-        keys = upto[first * width + span] - upto[first * width]
-        if keys > capacity and d.local[b] < bits:
+        span = bits - d.local[b]
+        keys = upto[(d.prefix[b] + 1) << span] - upto[d.prefix[b] << span]
+        if keys > capacity and span > 0:
             d.split(b)
             queue += [b, len(d.local) - 1]
     return d
@@ -247,7 +257,12 @@ def flag_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that stay, with all their columns, read from the index."""
+    """The documents that stay, with all their columns, read from the index.
+
+    Null and empty texts are equal, so one of them stays; of equal texts it is the row with the largest id (null ids rank
+    lowest), and of rows that repeat id and text one stays. Texts of any length are compared whole. Columns of any name pass
+    through; an empty table gives an empty result.
+    """
     prints = written(fingerprints(docs, id_col, text_col, options.get("hasher", text_hash)), "exact-prints")
     index = ExtendibleIndex(docs.sparkSession, id_col, text_col, **options)
     return index.add(docs, prints).select(*docs.columns)

@@ -83,3 +83,21 @@ def test_directory_doubles_only_for_full_depth():
     h = np.array([0, 1 << 61, 5 << 61], np.uint64)
     assert list(d.bucket_of(h)) == [d.slots[0], d.slots[1], d.slots[5]]
     assert xi.Directory().bucket_of(h).tolist() == [0, 0, 0]
+
+
+def test_a_large_directory_is_laid_out_fast():
+    import time
+
+    begun = time.time()
+    d = xi.grow_directory(np.full(1 << 19, 512), 19, 2_048)
+    assert len(d.local) == 1 << 17 and len(d.slots) == 1 << 17 and time.time() - begun < 10
+    uneven = np.zeros(1 << 10, int)
+    uneven[5], uneven[700:720] = 900, 60
+    d = xi.grow_directory(uneven, 10, 100)
+    slots = np.array(d.slots)
+    assert len(slots) == 1 << d.depth and sorted(set(slots)) == list(range(len(d.local)))
+    for b, bits in enumerate(d.local):
+        at = np.flatnonzero(slots == b)
+        assert len(at) == 1 << (d.depth - bits) and (np.diff(at) == 1).all() and at[0] % len(at) == 0
+        keys = uneven[at[0] << (10 - d.depth) : (at[-1] + 1) << (10 - d.depth)].sum()
+        assert keys <= 100 or bits == 10

@@ -28,14 +28,30 @@ def test_statistics(text):
 
 
 def slow_limits(rows, fence, min_docs):
-    """Sketches as plain dictionaries; the quantile is the upper end of its bucket."""
+    """The rule over plain lists of bucketed values."""
 
     def bucket(v):
         return 0 if v <= q.LEAST else math.ceil(math.log(v / q.LEAST) / math.log(q.GROWTH))
 
+    def end(b):
+        return 0.0 if b <= 0 else q.LEAST * q.GROWTH**b
+
     def quantile(values, at):
-        b = sorted(map(bucket, values))[math.ceil(len(values) * at) - 1]
-        return 0.0 if b == 0 else q.LEAST * q.GROWTH**b
+        return end(sorted(map(bucket, values))[math.ceil(len(values) * at) - 1])
+
+    def rate(rs, m):
+        size, parts = q.UNITS[m]
+        unit = parts / max(quantile([r[size] for r in rs], 0.5), 1.0)
+        values = sorted(bucket(r[m]) for r in rs)
+        for k in range(len(values) - 1):
+            low, high = max(end(values[k]), unit), end(values[k + 1] - 1)
+            if values[k] < values[k + 1] and 2 * (k + 1) >= len(values) and high >= q.GAP * low:
+                return math.sqrt(low * high)
+        return end(values[-1])
+
+    def length(rs):
+        v = [r["word_length"] for r in rs]
+        return quantile(v, 0.5), max(fence * (quantile(v, 0.5) - quantile(v, 0.25)), q.MARGIN)
 
     own, lang = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -43,11 +59,12 @@ def slow_limits(rows, fence, min_docs):
         lang[r["lang"]].append(r)
     out = {}
     for key, rs in own.items():
-        use = rs if len(rs) >= min_docs else lang[key[0]] if len(lang[key[0]]) >= min_docs else rows
-        for m, margin in q.MEASURES.items():
-            v = [r[m] for r in use]
-            q75 = quantile(v, 0.75)
-            out[key, m] = q75 + max(fence * (q75 - quantile(v, 0.5)), margin)
+        wide = lang[key[0]]
+        use = rs if len(rs) >= min_docs else wide if len(wide) >= min_docs else rows
+        for m in q.UNITS:
+            out[key, m] = max(rate(rs, m), rate(wide, m)) if min_docs <= len(rs) < q.ENOUGH else rate(use, m)
+        mid, reach = length(use)
+        out[key, "word_length"] = mid + (max(reach, length(wide)[1]) if len(rs) >= min_docs else reach)
     return out
 
 
@@ -69,9 +86,13 @@ def test_verdicts_against_brute_force(docs):
     for i, t, lang, source in rows:
         w, c, s, d, r = slow_stats(t)
         lines = sum(1 for x in (t or "").split("\n") if WORD.search(x))
-        stats.append({"id": i, "lang": lang, "source": source, "st": (w, c, s, d, r), "symbol_rate": s / w if w else 0.0, "dup_line_rate": d / lines if lines else 0.0,
+        stats.append({"id": i, "lang": lang, "source": source, "st": (w, c, s, d, r), "n_words": w, "n_lines": lines, "symbol_rate": s / w if w else 0.0, "dup_line_rate": d / lines if lines else 0.0,
                       "repeat_rate": r / w if w else 0.0, "word_length": c / w if w else 0.0})
     limit = slow_limits(stats, q.FENCE, q.MIN_DOCS)
+    groups = {(r.lang, r.source): r for r in q.limits(q.document_stats(df, ["doc_id", "lang", "source"])).collect()}
+    assert groups.keys() == {k for k, _ in limit}
+    for (key, m), value in limit.items():
+        assert math.isclose(groups[key][f"max_{m}"], value, rel_tol=1e-9, abs_tol=1e-12), (key, m)
     want = []
     for s in stats:
         w, _, _, _, r = s["st"]

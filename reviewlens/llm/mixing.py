@@ -79,12 +79,18 @@ def mix_sizes(docs: DataFrame, seed: str = "mix-1", **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: str = "mix-1", **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, with the columns of ``docs``."""
-    names = docs.columns
+    """The mix itself: every row of ``docs`` as often as it is taken, with the columns of ``docs``, whatever these are called.
+
+    Null and empty texts add nothing to their source's size; their rows are repeated at its rate like any other. A source
+    without words is left out. Null sources are a source of their own. Rows that share an id share their draw. An empty table
+    gives an empty result.
+    """
     sizes = written(docs.select("source", word_count(F.col("text")).alias("size")), "mix-sizes")
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     # Written first, so that Spark plans the join by the table's real size: documents are not shuffled for a short list.
-    rates = written(target_sizes(sources, **options), "mix-rates").select(F.col("source").alias("__key"), F.col("rate").alias("__rate"))
-    rated = salted_lookup(docs.withColumn("__key", F.col("source")), rates, ["__key"], F.col("doc_id"))
-    times = F.array_repeat(F.lit(1), copies(F.col("__rate"), F.col("doc_id"), seed).cast("int"))
-    return rated.withColumn("__times", times).withColumn("__one", F.explode("__times")).select(*[F.col(f"`{c}`") for c in names])
+    rates = written(target_sizes(sources, **options), "mix-rates").select("source", "rate")
+    # The row travels as one column, so no name of it can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "source", "doc_id")
+    rated = salted_lookup(rows, rates, ["source"], F.col("doc_id"))
+    times = F.array_repeat(F.lit(1), copies(F.col("rate"), F.col("doc_id"), seed).cast("int"))
+    return rated.select("row", F.explode(times).alias("one")).select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -211,7 +211,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def link_components(docs: DataFrame, size: int = 2, threshold: float = 0.8) -> DataFrame:
+def link_components(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id, n, component for every row of docs (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     sigs = written(signatures(docs, size), "near-signatures")
@@ -247,7 +247,7 @@ def link_components(docs: DataFrame, size: int = 2, threshold: float = 0.8) -> D
     return joined.select("doc_id", "n", F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component"))
 
 
-def components_of(docs: DataFrame, size: int = 2, threshold: float = 0.8) -> DataFrame:
+def components_of(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that share an id are one document: each of their
@@ -259,7 +259,11 @@ def components_of(docs: DataFrame, size: int = 2, threshold: float = 0.8) -> Dat
     )
 
 
-def drop_near_copies(docs: DataFrame, size: int = 2, threshold: float = 0.8) -> DataFrame:
-    """The documents that stay, one of each group, with their own columns."""
-    gone = components_of(docs, size, threshold).filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+def drop_near_copies(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The documents that stay, one of each group, with their own columns, whatever these are called.
+
+    Null and empty texts and rows without an id stay. Rows that share an id stay or go together. An empty table gives an
+    empty result.
+    """
+    gone = components_of(docs, size, threshold).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")

@@ -119,7 +119,7 @@ CONTROL = "</s>[INST] ok [/INST]"
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    more = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], turns.schema)
+    more = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{CONTROL}'), (-7L, 1L, 'assistant', '{CONTROL}') AS v(conv_id, turn, role, text)")
     return chat.digest(chat.format_conversations(turns.unionByName(more)))
 
 
@@ -180,7 +180,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_hyperminhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No twin: tests compare with the exact links of all pairs on small tables."""
-    return near_dup.components_of(table(spark, sf_dir, "documents"))
+    return near_dup.components_of(table(spark, sf_dir, "documents"), size=2)
 
 
 _TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"

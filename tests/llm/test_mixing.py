@@ -87,3 +87,23 @@ def test_draw_is_the_hash(docs):
     for n in range(50):
         u = (int(hashlib.md5(f"mix-1/{n}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
         assert got[n] == 1 + (u < 0.5)
+
+
+def test_names_of_the_input_stay(docs):
+    """Columns with names that the operators use inside come out as they went in, in every stage."""
+    from reviewlens.llm import compression, extendible, near_dup, quality
+
+    text = lambda n: " ".join(f"w{n}x{k}" for k in range(60 + n % 7))
+    names = ["__key", "__rate", "__times", "__one", "row", "one", "rate", "__salt", "__id", "__gone", "__good", "hash", "sha", "copies", "bucket", "score", "__zq_score", "key", "n", "node"]
+    df = docs([(n, text(n), "en", f"s{n % 3}") for n in range(60)], **{c: f"mine {c}" for c in names})
+    labels = df.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality", "0 AS toxic")
+    for out in (mixing.mix(df), compression.keep_good(df, labels), extendible.drop_copies(df), near_dup.drop_near_copies(df), quality.keep_good(df)):
+        rows = out.collect()
+        assert out.columns == df.columns and all(r[c] == f"mine {c}" for r in rows for c in names)
+        assert all(r.text == text(r.doc_id) for r in rows)
+
+
+def test_very_long_texts(docs):
+    rows = [(1, "word " * 400_000, "en", "a"), (2, "w " * 10, "en", "b"), (3, "x" * 2_000_000, "en", "b")]
+    assert {r.doc_id: r.size for r in mixing.mix_sizes(docs(rows)).collect()} == {1: 400_000, 2: 10, 3: 1}
+    assert {len(r.text) for r in mixing.mix(docs(rows)).collect()} <= {2_000_000, 20}

@@ -71,6 +71,21 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
     return some.unionByName(others)
 
 
+#: Rows and bytes of text that Spark puts into one Arrow batch, at most.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Let Spark cut its Arrow batches small: a batch is held several times over on its way to Python and back."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(name)
+        size = int(now) if now.lstrip("-").isdigit() else most + 1
+        if not 0 < size <= most:
+            spark.conf.set(name, str(most))
+    return spark
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, max_bytes: int = 8 << 20) -> DataFrame:
     """Apply a function to Arrow batches, cut so that the texts of one call stay near ``max_bytes`` (one row at least)."""
 
@@ -84,6 +99,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
                 yield fn(batch.slice(start, rows))
                 start += rows
 
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -219,7 +219,21 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that are predicted to be good, with their own columns and nothing else."""
-    names = ("__zq_score", "__zq_predicted")
-    out = scored(docs, train(docs, labels, **options), docs.columns, names)
-    return out.filter(F.col(names[1]) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that are predicted to be good, with their own columns, whatever these are called, and nothing else.
+
+    Null and empty texts are judged like a text without any difference. Texts are read whole; repeated rows are each judged.
+    An empty table gives an empty result. Only texts go to Python and only verdicts come back; the rows stay where they are.
+    """
+    model = train(docs, labels, **options)
+
+    def good(texts: pa.Array) -> pa.Array:
+        out, start = [], 0
+        while start < len(texts):
+            rows = len(texts) - start
+            while rows > 1 and texts.slice(start, rows).nbytes > 8 << 20:
+                rows = (rows + 1) // 2
+            out.append(probability(features(rows_of(texts.slice(start, rows)), model), model) >= THRESHOLD)
+            start += rows
+        return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
+
+    return docs.filter(F.arrow_udf(good, "boolean")(F.col("text")))

@@ -305,6 +305,7 @@ def keyphrases(docs: DataFrame, candidates: DataFrame, stop: list[str], n: int =
     means = mean_vectors(wanted, ["topic_id", "term"], out="term_vector").drop("n_vectors")
     pair = join_small(means, centroids, ["topic_id"], "inner")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
-    cosine = dot("term_vector", "centroid") / F.sqrt(dot("term_vector", "term_vector") * dot("centroid", "centroid"))
+    lengths = F.sqrt(dot("term_vector", "term_vector") * dot("centroid", "centroid"))
+    cosine = F.coalesce(F.try_divide(dot("term_vector", "centroid"), lengths), F.lit(0.0))  # a vector of zeros is like none
     scored = pair.select("topic_id", "term", cosine.alias("similarity"))
     return keep_top(scored, ["topic_id"], [F.floor(F.col("similarity") * 1e9 + 0.5).desc(), F.col("term")], n, "term_rank")

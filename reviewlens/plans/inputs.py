@@ -92,9 +92,9 @@ def conv_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, CONV_LONG, "conversations")
 
 
-def with_sql(*ctes: tuple[str, str], query: str) -> str:
-    """A SQL twin from named steps."""
-    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in ctes) + "\n" + query
+def with_sql(*ctes: tuple[str, str], query: str, once: tuple[str, ...] = ()) -> str:
+    """A SQL twin from named steps. Those in ``once`` are read by several others and computed once."""
+    return "WITH " + ",\n".join(f"{name} AS {'MATERIALIZED ' if name in once else ''}({body})" for name, body in ctes) + "\n" + query
 
 
 V_LONG = ("v_long", REVIEWS_LONG)

@@ -89,7 +89,11 @@ def tm_vocab(spark, sf):
     return tp.vocabulary(tp.term_counts(docs(spark, sf), KEYS).checkpoint(), KEYS)
 
 
-@query("tm_ctfidf", with_sql(*WEIGHTS, query=f"SELECT text_field, topic_id, term, n, {r('weight', 6)} AS weight FROM v_weights"))
+# Counts first, then the joins: the texts are cut into terms once.
+ONCE = ("v_counts", "v_vocab")
+
+
+@query("tm_ctfidf", with_sql(*WEIGHTS, query=f"SELECT text_field, topic_id, term, n, {r('weight', 6)} AS weight FROM v_weights", once=ONCE))
 def tm_ctfidf(spark, sf):
     return weights(spark, sf).withColumn("weight", round_half_up(F.col("weight"), 6))
 

@@ -134,11 +134,34 @@ def tm_cluster_density(spark, sf):
 # Fitted numbers have no twin in SQL; these queries return every key with properties that the result must have.
 
 
-@query("tm_cluster_kmeans", "SELECT vec_id, label, true AS has_topic, 10::BIGINT AS n_topics FROM embeddings")
+def squared_length(vec):
+    return F.aggregate(vec, F.lit(0.0), lambda s, v: s + v * v)
+
+
+# Lengths of all vectors around their common mean, which any split into topics must lower.
+KMEANS_SQL = with_sql(
+    V_VEC,
+    ("v_mean", "SELECT d, avg(v) AS m FROM (SELECT unnest(x) AS v, unnest(range(1, len(x) + 1)) AS d FROM v_vec) GROUP BY d"),
+    ("v_all", "SELECT sum((v - m) * (v - m)) AS whole FROM (SELECT unnest(x) AS v, unnest(range(1, len(x) + 1)) AS d FROM v_vec) JOIN v_mean USING (d)"),
+    query=f"SELECT vec_id, label, true AS has_topic, 10::BIGINT AS n_topics, true AS is_tighter, {r('whole', 3)} AS spread FROM v_vec, v_all",
+)
+
+
+@query("tm_cluster_kmeans", KMEANS_SQL)
 def tm_cluster_kmeans(spark, sf):
+    """Topics must hold together: around their means the vectors spread less than 0.97 of what they do around the common
+    mean, where topics dealt at random keep more than 0.99."""
     rows = cl.kmeans_topics(embeddings(spark, sf), 10)
     n = rows.select(F.countDistinct("topic_id").alias("n")).scalar()
-    return rows.select("vec_id", "label", F.col("topic_id").between(0, 9).alias("has_topic"), n.alias("n_topics"))
+    around = lambda keys: ve.mean_vectors(rows.withColumn("__all", F.lit(0)), keys).select(
+        F.sum(F.col("n_vectors") * squared_length(F.col("centroid"))).alias("held")
+    )
+    lengths = rows.select(F.sum(squared_length(F.col("embedding").cast("array<double>"))).alias("s")).scalar()
+    within, whole = lengths - around(["topic_id"]).scalar(), lengths - around(["__all"]).scalar()
+    return rows.select(
+        "vec_id", "label", F.col("topic_id").between(0, 9).alias("has_topic"), n.alias("n_topics"),
+        (within < 0.97 * whole).alias("is_tighter"), round_half_up(whole, 3).alias("spread"),
+    )
 
 
 def document_vectors(spark, sf):
@@ -157,11 +180,23 @@ def tm_embed(spark, sf):
     return document_vectors(spark, sf).select("doc_id", F.size("embedding").alias("n_dims"), ((size == 0) | (F.abs(size - 1) < 1e-5)).alias("is_unit"))
 
 
-@query("tm_reduce", "SELECT vec_id, label, 10 AS n_dims, true AS within_unit FROM embeddings")
+@query("tm_reduce", "SELECT vec_id, label, 10 AS n_dims, true AS within_unit, true AS holds_variance, true AS uncorrelated FROM embeddings")
 def tm_reduce(spark, sf):
+    """A projection of a unit vector is no longer than the vector. The ten components of largest variance hold more of it than
+    any ten of the given dimensions, in falling order, and are uncorrelated."""
     rows = ve.reduce_dims(embeddings(spark, sf), 10)
-    # A projection of a unit vector is no longer than the vector.
-    return rows.select("vec_id", "label", F.size("reduced").alias("n_dims"), (length_of(F.col("reduced")) <= 1 + 1e-6).alias("within_unit"))
+    at = lambda c, k: F.element_at(F.col(c), k + 1)
+    stats = rows.select(
+        *[F.var_pop(at("reduced", k)).alias(f"v{k}") for k in range(10)],
+        F.sort_array(F.array(*[F.var_pop(at("embedding", k)) for k in range(64)]), asc=False).alias("given"),
+        F.greatest(*[F.abs(F.covar_pop(at("reduced", a), at("reduced", b))) for a in range(10) for b in range(a)]).alias("worst"),
+    ).first()  # one row
+    found = [stats[f"v{k}"] for k in range(10)]
+    holds = sum(found) > sum(stats.given[:10]) and all(a >= b - 1e-9 for a, b in zip(found, found[1:]))
+    return rows.select(
+        "vec_id", "label", F.size("reduced").alias("n_dims"), (length_of(F.col("reduced")) <= 1 + 1e-6).alias("within_unit"),
+        F.lit(holds).alias("holds_variance"), F.lit(stats.worst < 1e-6).alias("uncorrelated"),
+    )
 
 
 V_CENT = ("v_cent", centroid_sql("v_vec", "label"))
@@ -267,11 +302,25 @@ def topic_docs(docs):
     return ve.embed(docs, ve.fit_embedding(docs, tp.DEFAULT_STOP, dim=64), tp.DEFAULT_STOP).select("doc_id", "text", "embedding", "topic_id")
 
 
+LETTERS = "abcdefghijklmnop"
+
+
+def letter_vectors(docs):
+    """How often each of some letters occurs: a plugged-in encoder that both engines can state, so every rank is checked."""
+    counts = [(F.length("text") - F.length(F.replace("text", F.lit(c), F.lit("")))).cast("double") for c in LETTERS]
+    return docs.withColumn("embedding", F.array(*counts))
+
+
 def topic_keywords(docs):
     return tp.top_terms(tp.ctfidf(docs, ["topic_id"]), ["topic_id"], 20)
 
 
-V_TD = ("v_td", "SELECT d.doc_id, d.text, v.x, v.label FROM documents d JOIN v_vec v ON d.doc_id = v.vec_id")
+V_TD = (
+    "v_td",
+    "SELECT CAST(review_id AS BIGINT) AS doc_id, text, topic_id AS label, ["
+    + ", ".join(f"CAST(length(text) - length(replace(text, '{c}', '')) AS DOUBLE)" for c in LETTERS)
+    + "] AS x FROM v_long",
+)
 
 
 def _keyphrase_sql() -> str:
@@ -279,7 +328,7 @@ def _keyphrase_sql() -> str:
 
     stop = tq._STOP
     return with_sql(
-        V_VEC, V_TD,
+        i.V_LONG, V_TD,
         ("v_kept", rf"""SELECT doc_id, label, list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}'),
   lambda w: w NOT IN ({stop})) AS kept FROM v_td"""),
         ("v_uses", "SELECT doc_id, label, unnest(kept || list_transform(kept[2:], lambda w, n: kept[n] || ' ' || w)) AS term FROM v_kept"),
@@ -300,15 +349,17 @@ def _keyphrase_sql() -> str:
         query=f"""
 SELECT label AS topic_id, term, {r("s", 4)} AS similarity, CAST(rn AS INTEGER) AS term_rank FROM (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY floor(s * 1e9::DOUBLE + 0.5::DOUBLE) DESC, term) AS rn FROM (
-    SELECT label, term, list_cosine_similarity(tv, c) AS s FROM v_tv JOIN v_dc USING (label))) WHERE rn <= 10""",
+    SELECT label, term, CASE WHEN list_dot_product(tv, tv) * list_dot_product(c, c) = 0 THEN 0 ELSE list_cosine_similarity(tv, c) END AS s
+    FROM v_tv JOIN v_dc USING (label))) WHERE rn <= 10""",
+        once=("v_td", "v_uses", "v_cnt", "v_voc"),
     )
 
 
 @query("tm_keyphrase", _keyphrase_sql())
 def tm_keyphrase(spark, sf):
-    """Over all documents. The twin still reads only those with a given vector, so it differs."""
+    """Over all documents."""
     docs = long_topics(spark, sf)
-    ranked = ve.keyphrases(topic_docs(docs), topic_keywords(docs), tp.DEFAULT_STOP)
+    ranked = ve.keyphrases(letter_vectors(docs), topic_keywords(docs), tp.DEFAULT_STOP)
     return ranked.withColumn("similarity", round_half_up(F.col("similarity"), 4))
 
 
@@ -337,7 +388,8 @@ def tm_model_io(spark, sf):
     loaded = model_io.load(spark, path)
     every = i.table(spark, sf, "documents").select("doc_id", "text")
     saved = model_io.assign(every, loaded, tp.DEFAULT_STOP).select("doc_id", "topic_id", "probability")
-    unsaved = model_io.assign(every, model_io.TopicModel(encoder, loaded.centroids, weights, settings), tp.DEFAULT_STOP)
+    # The centroids as they are in memory, so that a damaged table does not go unnoticed.
+    unsaved = model_io.assign(every, model_io.TopicModel(encoder, centroids.checkpoint(), weights, settings), tp.DEFAULT_STOP)
     both = saved.join(unsaved.select("doc_id", F.col("topic_id").alias("t"), F.col("probability").alias("p")), "doc_id")
     same = (F.col("topic_id") == F.col("t")) & (F.col("probability") == F.col("p"))
     return both.select("doc_id", F.col("topic_id").isNotNull().alias("has_topic"), same.alias("same_as_unsaved"))

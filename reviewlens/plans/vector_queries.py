@@ -393,3 +393,34 @@ def tm_model_io(spark, sf):
     both = saved.join(unsaved.select("doc_id", F.col("topic_id").alias("t"), F.col("probability").alias("p")), "doc_id")
     same = (F.col("topic_id") == F.col("t")) & (F.col("probability") == F.col("p"))
     return both.select("doc_id", F.col("topic_id").isNotNull().alias("has_topic"), same.alias("same_as_unsaved"))
+
+
+def _stage_sql() -> str:
+    from reviewlens import config as cfg
+    from reviewlens.plans import text_queries as tq
+
+    return with_sql(
+        i.V_LONG,
+        ("v_flat", r"SELECT review_id, text_field, trim(regexp_replace(regexp_replace(text, '\\r\\n|\\n|\\r', ' ', 'g'), '\s+', ' ', 'g')) AS c FROM v_long"),
+        ("v_kept", rf"""SELECT review_id, text_field, CASE WHEN text_field = 'use_case' THEN regexp_replace(c, '{tq.LEAK}', '.') ELSE c END AS c
+  FROM v_flat WHERE c NOT IN ('nan', 'None', '')"""),
+        ("v_full", f"SELECT review_id, text_field, {tq.expand_sql('c')} AS e FROM v_kept"),
+        query=f"""
+SELECT review_id, text_field, sha256(e) AS text_hash, true AS has_topic, true AS is_counted FROM v_full WHERE length(e) >= {cfg.MIN_CHARS}""",
+    )
+
+
+@query("tm_stage", _stage_sql())
+def tm_stage(spark, sf):
+    """Every usable text of every field with its topic; topics differ between engines, so properties are compared: a document
+    has a topic with a probability or is an outlier without one, and its topic's refreshed count is that of its documents."""
+    from reviewlens.operators import topic_stage
+
+    found = topic_stage.run(i.reviews_long(spark, sf), settings={f: {"pivots": PIVOTS, "max_topics": 20} for f in ("likes", "dislikes", "use_case")})
+    keys = ["text_field", "topic_id"]
+    counted = found.documents.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).join(found.info.select(*keys, "doc_count"), keys, "left")
+    right = counted.select(*keys, F.coalesce(F.col("n") == F.col("doc_count"), F.lit(False)).alias("is_counted"))
+    outlier = F.col("topic_id") == -1
+    has_topic = F.when(outlier, F.col("probability").isNull()).otherwise(F.coalesce(F.col("probability").between(0, 1), F.lit(False)))
+    # One row for each topic.
+    return found.documents.join(F.broadcast(right), keys).select("review_id", "text_field", F.sha2("text", 256).alias("text_hash"), has_topic.alias("has_topic"), "is_counted")

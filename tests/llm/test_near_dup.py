@@ -38,7 +38,7 @@ def slow(rows, size=2, percent=80):
 
 
 def result(df, **options):
-    return sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in nd.components_of(df, **options).collect())
+    return sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in nd.components_of(df, **({"size": 2} | options)).collect())
 
 
 @settings(max_examples=150, deadline=None)

@@ -64,13 +64,14 @@ SELECT '20240701_000000', 'jupri', k, NULL, NULL, NULL, NULL, reason FROM (VALUE
     ),
 )
 def src_raw_json(spark, sf):
-    """Items of all snapshots, and the two files among them that cannot be used."""
+    """Items of all snapshots, and the two files among them that cannot be used. Files beyond 16 kB are read by ranges here, so that
+    both ways of reading take part."""
     path = land_snapshots(spark, sf)
     bad = [("cut", '[{"id": "1"}, {"id": "cut'), ("object", '{"id": "1"}')]
     for key, value in bad:
         folder = f"{path}/source_actor=jupri/product_key={key}/run_ts=20240701_000000"
         spark.createDataFrame([(value,)], "value string").coalesce(1).write.text(folder)
-    good, rejected = raw.read_raw(spark, path)
+    good, rejected = raw.read_raw(spark, path, split_above=16 << 10)
     rejects = raw.with_snapshot(rejected).select("run_ts", "source_actor", "product_key", "reject_reason")
     return _items_summary(good).unionByName(rejects, allowMissingColumns=True)
 
@@ -224,11 +225,11 @@ def review_topics(spark, sf):
 @query(
     "snk_enriched",
     """
-SELECT kind, CAST(n AS BIGINT) AS n_rows FROM (
+SELECT kind, copy, CAST(n AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_differing FROM (
   SELECT 'reviews_meta' AS kind, count(DISTINCT doc_id) AS n FROM documents
   UNION ALL
   SELECT 'reviews_text_classified', sum(2 + CASE WHEN doc_id % 3 = 2 OR (doc_id % 3 = 0 AND doc_id % 2 = 0) THEN 1 ELSE 0 END)
-  FROM documents WHERE text <> '')""",
+  FROM documents WHERE text <> ''), (VALUES ('csv'), ('parquet')) AS t(copy)""",
 )
 def snk_enriched(spark, sf):
     reviews = base_reviews(spark, sf)
@@ -237,11 +238,20 @@ def snk_enriched(spark, sf):
     paths = tables.write_enriched(
         conform.build_meta(reviews, "review_id"), reshape.text_classified(reviews, docs, info), scratch_path(spark, "enriched")
     )
-    counts = [
-        spark.read.parquet(paths[k]).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(k).alias("kind"), "n_rows")
-        for k in ("reviews_meta", "reviews_text_classified")
-    ]
-    return counts[0].unionByName(counts[1])
+    return _copies(spark, paths, "reviews_meta").unionByName(_copies(spark, paths, "reviews_text_classified"))
+
+
+def _copies(spark, paths, kind):
+    """Rows of the Parquet and of the CSV copy of a table, and of each those that the other lacks, values compared as text."""
+    full = spark.read.parquet(paths[kind])
+    as_text = lambda df, name: df.select(F.lit(name).alias("copy"), F.xxhash64(*[F.nullif(F.col(c).cast("string"), F.lit("")) for c in full.columns]).alias("row"))
+    both = as_text(full, "parquet").unionByName(as_text(tables.read_csv(spark, paths[f"{kind}.csv"], full.schema), "csv"))
+    per_row = both.groupBy("row").agg(F.count_if(F.col("copy") == "parquet").alias("parquet"), F.count_if(F.col("copy") == "csv").alias("csv"))
+    sums = per_row.agg(
+        F.sum("parquet").alias("n_parquet"), F.sum("csv").alias("n_csv"),
+        F.sum(F.greatest(F.col("parquet") - F.col("csv"), F.lit(0))).alias("d_parquet"), F.sum(F.greatest(F.col("csv") - F.col("parquet"), F.lit(0))).alias("d_csv"),
+    )
+    return sums.selectExpr(f"'{kind}' AS kind", "stack(2, 'parquet', n_parquet, d_parquet, 'csv', n_csv, d_csv) AS (copy, n_rows, n_differing)")
 
 
 @query(
@@ -270,7 +280,9 @@ def snk_versioned(spark, sf):
         i.V_LONG,
         i.V_MAP,
         query="""
-SELECT 'v1' AS run_version, text_field, topic_id, coalesce(macro_group, 'unassigned') AS group_after
+SELECT 'v1' AS run_version, text_field, topic_id, concat('Topic ', CAST(topic_id AS VARCHAR), ' of ', text_field) AS plain_description,
+  macro_group AS group_before, coalesce(macro_group, 'unassigned') AS group_after,
+  CASE WHEN macro_group IS NULL THEN 'no group given' END AS reasoning
 FROM (SELECT DISTINCT text_field, topic_id FROM v_long) LEFT JOIN v_map USING (topic_id)""",
     ),
 )
@@ -280,16 +292,17 @@ def snk_audit(spark, sf):
     grouping = topics.select(
         "text_field",
         "topic_id",
-        F.lit("").alias("plain_description"),
+        F.concat(F.lit("Topic "), F.col("topic_id").cast("string"), F.lit(" of "), "text_field").alias("plain_description"),
         F.col("macro_group").alias("group_before"),
         F.coalesce("macro_group", F.lit("unassigned")).alias("group_after"),
-        F.lit(None).cast("string").alias("reasoning"),
+        F.when(F.col("macro_group").isNull(), "no group given").alias("reasoning"),
     )
     tables.write_audit(grouping, path, "v1")
-    schema = "text_field string, topic struct<topic_id: int, grouping: struct<after: string>>, run_version string"
-    return spark.read.schema(schema).json(path).select(
-        "run_version", "text_field", "topic.topic_id", F.col("topic.grouping.after").alias("group_after")
-    )
+    topic = "topic_id: int, enrichment: struct<plain_description: string>, grouping: struct<before: string, after: string, reasoning: string>"
+    return spark.read.schema(f"text_field string, topic struct<{topic}>, run_version string").json(path).select(
+        "run_version", "text_field", "topic.topic_id", "topic.enrichment.plain_description", F.col("topic.grouping.before").alias("group_before"),
+        F.col("topic.grouping.after").alias("group_after"), "topic.grouping.reasoning",
+    )
 
 
 @query("agg_run_summary", with_sql(RUN_LOG_SQL, query="""

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from reviewlens.session import clear_scratch, scratch_path
+from reviewlens.sources import json_ranges
+
 # <source>/<product>_<yyyymmdd_hhmmss>.json, or the same three as partition folders.
 FILE_NAME = r"([^/=]+)/([^/=]+)_(\d{8}_\d{6})\.json$"
 FOLDERS = r"/source_actor=([^/]+)/product_key=([^/]+)/run_ts=([^/]+)/[^/]+$"
@@ -44,14 +47,14 @@ def latest_files(files: DataFrame) -> DataFrame:
     return files.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") == 1).drop("__rank")
 
 
-def read_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file_path, items, reject_reason): each file is read once, as one text, and parsed as an array of VARIANT.
+#: Files beyond this many bytes are read by ranges, each by many tasks.
+SPLIT_ABOVE = 64 << 20
 
-    A file belongs to one task, as with any multi-line JSON; one that holds no array, or no valid JSON, has no items and a
-    reason instead.
-    """
+
+def _whole_files(spark: SparkSession, paths: str | list[str], upto: int) -> DataFrame:
     files = (
         spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
+        .filter(F.col("_metadata.file_size") <= upto)
         .select(F.col("_metadata.file_path").alias("file_path"), F.ltrim("value", F.lit(" \t\r\n\ufeff")).alias("__text"))
     )
     parsed = files.select(
@@ -63,10 +66,33 @@ def read_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parsed.select("file_path", F.when(reason.isNull(), F.col("items")).alias("items"), reason.alias("reject_reason"))
 
 
-def read_raw(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+def _files_by_range(spark: SparkSession, paths: str | list[str], above: int) -> DataFrame:
+    cut = json_ranges.pieces(spark, paths, above)
+    if cut.isEmpty():
+        return spark.createDataFrame([], "file_path string, items array<variant>, reject_reason string")
+    pieces, path = scratch_path(spark, "json-pieces"), scratch_path(spark, "json-chunks")
+    json_ranges.located(cut).write.parquet(pieces)
+    json_ranges.chunks(spark.read.parquet(pieces)).write.parquet(path)
+    clear_scratch(spark, [pieces])
+    parts = spark.read.parquet(path)
+    bad = parts.filter("reason IS NOT NULL").groupBy("file_path").agg(F.max("reason").alias("reject_reason"))
+    good = parts.join(bad, "file_path", "left_anti").select("file_path", "items", F.lit(None).cast("string").alias("reject_reason"))
+    return good.unionByName(bad.select("file_path", F.lit(None).cast("array<variant>").alias("items"), "reject_reason"))
+
+
+def read_files(spark: SparkSession, paths: str | list[str], split_above: int = SPLIT_ABOVE) -> DataFrame:
+    """(file_path, items, reject_reason): files as arrays of VARIANT.
+
+    A file of up to ``split_above`` bytes is one row; a larger one has a row for every few items and is read by many tasks. A
+    file that holds no array, or no valid JSON, has one row without items and with a reason instead.
+    """
+    return _whole_files(spark, paths, split_above).unionByName(_files_by_range(spark, paths, split_above))
+
+
+def read_raw(spark: SparkSession, paths: str | list[str], split_above: int = SPLIT_ABOVE) -> tuple[DataFrame, DataFrame]:
     """(items, rejected files). Rejected: unparseable files, files without an array, and files that hold an item that is no
     object (``bad_item``; their other items are kept)."""
-    files = read_files(spark, paths)
+    files = read_files(spark, paths, split_above)
     items = files.select("file_path", F.explode_outer("items").alias("item"), "reject_reason")
     is_object = F.startswith(F.schema_of_variant("item"), F.lit("OBJECT"))
     good = items.filter(F.col("item").isNotNull() & is_object).select("file_path", "item")

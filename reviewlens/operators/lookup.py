@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from reviewlens.session import ensure_checkpoint_dir
 
 MAX_ROWS = 100_000
+MAX_BYTES = 64 * 1024 * 1024
 KNOWN_BYTES = 8 * 1024 * 1024
 
 
@@ -20,12 +21,12 @@ def _known_bytes(df: DataFrame) -> int | None:
     """Spark's own estimate of the size, where the classic API offers it."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
+    except (AttributeError, ValueError):
         return None
 
 
 def small(lookup: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The lookup, marked for broadcast when it has at most ``max_rows`` rows.
+    """The lookup, marked for broadcast when it has at most ``max_rows`` rows and, written as text, ``MAX_BYTES`` bytes.
 
     Where Spark already knows it to be small (a literal table, a small file) nothing is run. Otherwise it is computed once,
     written to the checkpoint folder, and counted there.
@@ -35,7 +36,9 @@ def small(lookup: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
         return F.broadcast(lookup)
     ensure_checkpoint_dir(lookup.sparkSession)
     written = lookup.checkpoint()
-    return F.broadcast(written) if written.limit(max_rows + 1).count() <= max_rows else written
+    width = F.sum(F.octet_length(F.to_json(F.struct(F.lit(0).alias("_"), *written.columns))))
+    size = written.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(width, F.lit(0)).alias("bytes")).first()
+    return F.broadcast(written) if size.rows <= max_rows and size.bytes <= MAX_BYTES else written
 
 
 def join_small(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", max_rows: int = MAX_ROWS) -> DataFrame:

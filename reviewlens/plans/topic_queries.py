@@ -118,21 +118,24 @@ INFO = (i.V_LONG, ch.V_INFO)
     with_sql(
         *INFO,
         query=f"""
-SELECT text_field, topic_id, top_keywords,
-  CASE WHEN top_keywords = '{cfg.UNLABELLED}' THEN top_keywords ELSE top_keywords END AS resolved_keywords,
-  CASE WHEN top_keywords = '{cfg.UNLABELLED}' THEN 'Unlabelled topic' ELSE concat('Keywords: ', top_keywords) END AS plain_description,
-  'other' AS candidate_categories, top_keywords = '{cfg.UNLABELLED}' AS is_noise,
-  CASE WHEN top_keywords = '{cfg.UNLABELLED}' THEN 'No keywords available' END AS noise_reason
-FROM v_info WHERE topic_id <> -1""",
+SELECT text_field, topic_id, CASE WHEN short THEN concat(k, ', gl') ELSE k END AS top_keywords,
+  CASE WHEN short THEN concat(k, ', general ledger') ELSE k END AS resolved_keywords,
+  CASE WHEN k = '{cfg.UNLABELLED}' THEN 'Unlabelled topic' WHEN short THEN concat('Keywords: ', k, ', gl') ELSE concat('Keywords: ', k) END AS plain_description,
+  'other' AS candidate_categories, k = '{cfg.UNLABELLED}' AS is_noise,
+  CASE WHEN k = '{cfg.UNLABELLED}' THEN 'No keywords available' END AS noise_reason
+FROM (SELECT text_field, topic_id, top_keywords AS k, top_keywords <> '{cfg.UNLABELLED}' AND topic_id % 3 = 0 AS short FROM v_info WHERE topic_id <> -1)""",
     ),
 )
 def gr_enrich(spark, sf):
-    """Half of the topics are enriched in a first run; the second run adds only the others."""
+    """Half of the topics are enriched in a first run; the second run adds only the others. A third of them have an abbreviation
+    among their keywords."""
     from reviewlens.operators import grouping as gr
     from reviewlens.session import ensure_checkpoint_dir, scratch_path
 
     path = scratch_path(spark, "enrichment")
-    info = ch.topic_info(spark, sf)
+    keywords = F.col("top_keywords")
+    short = (keywords != cfg.UNLABELLED) & (F.col("topic_id") % 3 == 0)
+    info = ch.topic_info(spark, sf).withColumn("top_keywords", F.when(short, F.concat(keywords, F.lit(", gl"))).otherwise(keywords))
     gr.enrich_and_cache(info.filter("topic_id % 2 = 0"), path)
     rows = gr.enrich_and_cache(info, path)
     return rows.withColumn("candidate_categories", F.array_join("candidate_categories", ","))

@@ -8,6 +8,7 @@ from reviewlens.functions.numeric import round_half_up
 from reviewlens.operators import clustering as cl
 from reviewlens.operators import grouping as gr
 from reviewlens.operators import marts
+from reviewlens.operators import term_vectors as tv
 from reviewlens.operators import topics as tp
 from reviewlens.operators import vectors as ve
 from reviewlens.plans import inputs as i
@@ -164,20 +165,23 @@ def tm_cluster_kmeans(spark, sf):
     )
 
 
-def document_vectors(spark, sf):
-    docs = i.table(spark, sf, "documents").select("doc_id", "text")
-    return ve.embed(docs, ve.fit_embedding(docs, tp.DEFAULT_STOP, dim=64), tp.DEFAULT_STOP).select("doc_id", "embedding")
-
-
 def length_of(vec):
     return F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, v: s + v * v))
 
 
-@query("tm_embed", "SELECT doc_id, 64 AS n_dims, true AS is_unit FROM documents")
+@query("tm_embed", "SELECT doc_id, 64 AS n_dims, true AS is_unit, true AS languages_apart FROM documents")
 def tm_embed(spark, sf):
+    """Vectors of unit length, or zero for a text without terms. Languages share few words, so around the means of their
+    languages the vectors must spread clearly less than around the common mean; vectors at random would spread as much."""
+    docs = i.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    rows = tv.embed(docs, tv.fit(docs, tp.DEFAULT_STOP, dim=64))
     size = length_of(F.col("embedding"))
-    # A text without terms has the zero vector.
-    return document_vectors(spark, sf).select("doc_id", F.size("embedding").alias("n_dims"), ((size == 0) | (F.abs(size - 1) < 1e-5)).alias("is_unit"))
+    around = lambda keys: ve.mean_vectors(rows.withColumn("__all", F.lit(0)), keys).select(
+        F.sum(F.col("n_vectors") * squared_length(F.col("centroid"))).alias("held")
+    ).scalar()
+    lengths = rows.select(F.sum(squared_length(F.col("embedding").cast("array<double>"))).alias("s")).scalar()
+    apart = lengths - around(["lang"]) < 0.8 * (lengths - around(["__all"]))
+    return rows.select("doc_id", F.size("embedding").alias("n_dims"), ((size == 0) | (F.abs(size - 1) < 1e-5)).alias("is_unit"), apart.alias("languages_apart"))
 
 
 @query("tm_reduce", "SELECT vec_id, label, 10 AS n_dims, true AS within_unit, true AS holds_variance, true AS uncorrelated FROM embeddings")

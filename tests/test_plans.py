@@ -74,6 +74,17 @@ def test_large_lookup_is_shuffled_with_the_same_result(spark, monkeypatch):
     assert sorted(map(tuple, near.collect())) == sorted(map(tuple, far_rows))
 
 
+def test_lookup_of_few_wide_rows_is_shuffled(spark, monkeypatch):
+    docs, info = docs_and_info(spark)
+    monkeypatch.setattr(lookup, "KNOWN_BYTES", -1)
+    monkeypatch.setattr(lookup, "MAX_BYTES", 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan(lookup.join_small(docs, info.withColumn("wide", F.repeat(F.lit("x"), 400)), ["topic_id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_results_do_not_depend_on_partitioning(spark):
     long_df = i.reviews_long(spark, SF).withColumns({"macro_group": F.lit("g"), "group_label": F.lit("G")})
     chain = lambda df: sorted(map(tuple, se.score_chain(df, se.score_with_lexicon).collect()))

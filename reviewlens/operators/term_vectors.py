@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,6 +111,13 @@ def _information(pdf: pd.DataFrame, contexts: int, column_totals: np.ndarray) ->
     return ids, np.where(counts > 0, np.maximum(m, 0.0), 0.0), totals
 
 
+def _ordered(table: pa.Table, keys: list[str], vec: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first key and the vectors of a table, in the order of its keys."""
+    table = table.sort_by([(k, "ascending") for k in keys]).combine_chunks()
+    flat = table.column(vec).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return table.column(keys[0]).to_numpy(), flat.reshape(-1, width)
+
+
 def fit(docs: DataFrame, stop: list[str], dim: int = 64, terms: int = TERMS, contexts: int = CONTEXTS, window: int = WINDOW, text: str = "text", smooth: float = 1e-3) -> TermVectors:
     """Vectors of all term buckets, from all documents. The driver holds a matrix of the contexts and one of the terms."""
     if dim > contexts:
@@ -129,12 +137,13 @@ def fit(docs: DataFrame, stop: list[str], dim: int = 64, terms: int = TERMS, con
 
     def squares(pdf: pd.DataFrame) -> pd.DataFrame:
         _, m, _ = _information(pdf, contexts, by_context)
-        return pd.DataFrame({"i": np.arange(contexts), "row": list(m.T @ m)})
+        return pd.DataFrame({"block": pdf["term"].iloc[0] // 1024, "i": np.arange(contexts), "row": list(m.T @ m)})
 
+    # One square for each block, 16 MB in all with the usual sizes; added up in a fixed order.
+    parts = blocks.applyInPandas(squares, "block long, i long, row array<double>").toArrow()
+    at, rows = _ordered(parts, ["i", "block"], "row", contexts)
     gram = np.zeros((contexts, contexts))
-    parts = blocks.applyInPandas(squares, "i long, row array<double>")
-    for r in parts.orderBy("i").toLocalIterator():  # contexts x blocks rows
-        gram[r.i] += r.row
+    np.add.at(gram, at, rows)
     values, axes = np.linalg.eigh(gram)
     axes = axes[:, np.argsort(-values, kind="stable")[:dim]]
     axes *= np.where(axes[np.abs(axes).argmax(axis=0), np.arange(dim)] < 0, -1.0, 1.0)
@@ -149,8 +158,8 @@ def fit(docs: DataFrame, stop: list[str], dim: int = 64, terms: int = TERMS, con
         v *= (smooth / (smooth + totals / everything))[:, None]
         return pd.DataFrame({"term": ids, "vec": list(v.astype("float32"))})
 
-    for r in blocks.applyInPandas(project, "term long, vec array<float>").toLocalIterator():  # at most one row a bucket
-        matrix[r.term] = r.vec
+    at, rows = _ordered(blocks.applyInPandas(project, "term long, vec array<float>").toArrow(), ["term"], "vec", dim)  # at most one row a bucket
+    matrix[at] = rows
     return TermVectors(matrix, list(stop))
 
 

@@ -174,7 +174,9 @@ def tm_embed(spark, sf):
     """Vectors of unit length, or zero for a text without terms. Languages share few words, so around the means of their
     languages the vectors must spread clearly less than around the common mean; vectors at random would spread as much."""
     docs = i.table(spark, sf, "documents").select("doc_id", "lang", "text")
-    rows = tv.embed(docs, tv.fit(docs, tp.DEFAULT_STOP, dim=64))
+    path = scratch_path(spark, "document-vectors")
+    tv.embed(docs, tv.fit(docs, tp.DEFAULT_STOP, dim=64)).drop("text").write.parquet(path)
+    rows = spark.read.parquet(path)
     size = length_of(F.col("embedding"))
     around = lambda keys: ve.mean_vectors(rows.withColumn("__all", F.lit(0)), keys).select(
         F.sum(F.col("n_vectors") * squared_length(F.col("centroid"))).alias("held")

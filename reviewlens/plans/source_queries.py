@@ -15,7 +15,7 @@ from reviewlens.session import scratch_path
 from reviewlens.sources import raw, tables
 
 ITEMS_PER_FILE = 500
-ODD_NAME = 'rating, 1 to "5"'
+ODD_NAME = 'rating,\n1 to "5"'
 
 
 def land_snapshots(spark, sf):
@@ -142,7 +142,7 @@ def src_union_csv(spark, sf):
     own = {"likes": "overall_rating", "dislikes": "reviewer_company_size", "use_case": "topic_id"}
     for field, column in own.items():
         part = long_df.filter(F.col("text_field") == field).select("review_id", "product_name", "text_field", column)
-        if field == "likes":  # a name with a comma and quotes in it
+        if field == "likes":  # a name with a comma, quotes and a line break in it
             part = part.withColumnRenamed("overall_rating", ODD_NAME)
         tables.write_csv(part, f"{base}/{field}")
     return tables.union_csv(spark, base, skip="all_products_normalized").withColumnRenamed(ODD_NAME, "overall_rating")

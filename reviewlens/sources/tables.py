@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewlens.operators.lookup import join_small
+from reviewlens.session import ensure_checkpoint_dir
+
 CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 RUN_LOG_SCHEMA = """
@@ -28,69 +31,95 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 # -- union of CSV files with different headers ------------------------------------
 
+UNION = {**CSV, "recursiveFileLookup": "true", "pathGlobFilter": "*.csv", "ignoreCorruptFiles": "true"}
+
+
+def _own_out(rows: DataFrame, skip: str | None) -> DataFrame:
+    return rows.filter(~F.contains("file_path", F.lit(skip))) if skip else rows
 
-def csv_headers(spark: SparkSession, base: str, skip: str | None = None) -> DataFrame:
-    """Header line of every CSV file under ``base`` except the job's own output."""
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .text(base)
-        .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-            F.regexp_replace("value", "^﻿", "").alias("header"),
-        )
-    )
-    if skip:
-        lines = lines.filter(~F.contains("file_path", F.lit(skip)))
-    return lines.groupBy("file_path").agg(F.min_by("header", "at").alias("header"))
 
+def csv_headers(spark: SparkSession, base: str, skip: str | None = None) -> DataFrame:
+    """(file_path, header) of every CSV file under ``base`` except the job's own output: its first record as CSV text.
 
-def header_names(header: str) -> list[str]:
-    """Column names of a header line, quotes and commas inside quotes respected; a repeated name gets a number."""
+    The CSV reader finds the record, so line breaks inside quotes belong to it. Blank lines before it are passed over; files
+    without a record, or with a first record of spaces only, are not in the table.
+    """
+    # A record of one cell is that cell; of any other the reader keeps the text, as it does not fit the schema of one cell.
+    one = spark.read.options(**{**UNION, "header": "false", "columnNameOfCorruptRecord": "record"}).schema("cell string, record string").csv(base)
+    alone = F.concat(F.lit('"'), F.replace(F.coalesce("cell", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    # A file is read by one task, in order.
+    records = one.select(
+        F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("at"),
+        F.regexp_replace(F.coalesce("record", alone), "^﻿", "").alias("header"),
+    )
+    first = _own_out(records, skip).groupBy("file_path").agg(F.min_by("header", "at").alias("header"))
+    return first.filter(F.trim(F.translate("header", '"', "")) != "")
+
+
+def header_names(header: str) -> list[str] | None:
+    """Column names of a header record, quotes and commas inside quotes respected; a repeated name gets a number.
+
+    None where the record is no CSV, such as one whose quote never ends and that runs beyond the reader's limit for a cell.
+    """
+    try:
+        cells = next(csv.reader([header]))
+    except csv.Error:
+        return None
     names: list[str] = []
-    for raw in next(csv.reader([header])):
+    taken: set[str] = set()
+    for raw in cells:
         name, n = raw.strip(), 2
-        while name in names:
+        while name in taken:
             name, n = f"{raw.strip()}_{n}", n + 1
         names.append(name)
+        taken.add(name)
     return names
 
 
+def csv_layouts(headers: DataFrame) -> DataFrame:
+    """(layout, header, names, first_path): the different headers, each with a number and its first file."""
+    named = F.udf(lambda header: header_names(header), "array<string>")
+    ensure_checkpoint_dir(headers.sparkSession)
+    found = headers.groupBy("header").agg(F.min("file_path").alias("first_path")).withColumn("names", named("header"))
+    return found.filter(F.col("names").isNotNull()).withColumn("layout", F.monotonically_increasing_id()).checkpoint()
+
+
 def union_csv(spark: SparkSession, base: str, skip: str | None = None) -> DataFrame:
     """All CSV files stacked by column name, columns in first-seen order over sorted paths, missing cells ``""``.
 
-    Files are read per distinct header, not one by one. The driver, which lists the files for any read, groups their paths
-    by header. Files without a header line are left out (``csv_without_header`` lists them), and so are damaged ones. A
-    header that spans lines is not recognised.
+    One scan reads all files by position, whatever their headers. Each row finds its file's layout, and the layout says at
+    which position each column stands; both are lookups, broadcast while they are small. The driver sees the names of the
+    result's columns and nothing for each file or layout. Cells beyond a file's header are left out, as are files without a
+    header (``csv_without_header`` lists them) and what follows the damage in a damaged one. Names that differ in case only
+    are different columns. A file's lines end as its first one does.
     """
-    layouts: dict[str, list[str]] = {}
-    for row in csv_headers(spark, base, skip).orderBy("file_path").toLocalIterator():
-        if row.header.strip():
-            layouts.setdefault(row.header, []).append(row.file_path)
-    if not layouts:
+    ensure_checkpoint_dir(spark)
+    headers = csv_headers(spark, base, skip).checkpoint()
+    layouts = csv_layouts(headers)
+    seen = layouts.select("first_path", F.posexplode("names").alias("at", "name")).groupBy("name").agg(F.min(F.struct("first_path", "at")).alias("seen"))
+    columns = [r.name for r in seen.orderBy("seen").collect()]
+    if not columns:
         raise FileNotFoundError(f"no CSV files under {base}")
-    frames, order = [], []
-    for header, paths in layouts.items():
-        names = header_names(header)
-        order += [n for n in names if n not in order]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        frames.append(spark.read.options(**CSV).option("ignoreCorruptFiles", "true").schema(schema).csv(paths))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out.select(*[F.col(f"`{c}`") for c in order]).na.fill("")
+    width = layouts.agg(F.max(F.size("names"))).first()[0]
+    place = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: F.nullif(F.array_position("names", c), F.lit(0)) - 1)
+    places = layouts.select("layout", place.cast("array<int>").alias("places"))
+    of_file = headers.join(layouts.select("header", "layout"), "header").select("file_path", "layout")
+    cells = spark.read.options(**UNION, maxColumns=str(max(width, 20480))).schema(", ".join(f"c{k} string" for k in range(width))).csv(base)
+    rows = _own_out(cells.select(F.col("_metadata.file_path").alias("file_path"), F.array(*[f"c{k}" for k in range(width)]).alias("cells")), skip)
+    placed = join_small(join_small(rows, of_file, ["file_path"], "inner"), places, ["layout"], "inner")
+    cell = lambda k: F.coalesce(F.get("cells", F.get("places", F.lit(k))), F.lit(""))
+    return placed.select(*[cell(k).alias(c) for k, c in enumerate(columns)])
 
 
 def csv_without_header(spark: SparkSession, base: str, skip: str | None = None) -> DataFrame:
-    """CSV files under ``base`` that the union leaves out because they hold no header line. Spark itself passes over files of no bytes."""
+    """CSV files under ``base`` that the union leaves out because they hold no header. Spark itself passes over files of no bytes."""
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/").alias("file_path")
     listed = (
         spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.csv").load(base).select(F.col("path").alias("file_path"))
     )
-    if skip:
-        listed = listed.filter(~F.contains("file_path", F.lit(skip)))
-    good = csv_headers(spark, base, skip).filter(F.trim("header") != "").select(F.regexp_replace("file_path", "^file:/+", "file:/").alias("file_path"))
-    return listed.withColumn("file_path", F.regexp_replace("file_path", "^file:/+", "file:/")).join(good, "file_path", "left_anti")
+    headers = csv_headers(spark, base, skip)
+    good = headers.join(csv_layouts(headers).select("header"), "header", "left_semi").select(plain("file_path"))
+    return _own_out(listed, skip).select(plain("file_path")).join(good, "file_path", "left_anti")
 
 
 # -- run log ------------------------------------------------------------------------

@@ -14,7 +14,8 @@ that, only members that are not in the largest component of their group are held
 becomes a row only if a parity sketch allows the link. The sketch has a bit for each of 1,024 cells, set where an odd number
 of shingles falls into the cell. Two sketches differ in at most as many bits as the sets differ in shingles, so this test
 never rules out a link. A group of thousands of near copies thus costs a few rows for each member, and no link that connects
-two components is left out.
+two components is left out. Both sides of these comparisons are cut into blocks, and every two blocks of a group are a join
+key of their own, so the comparisons of one large group spread over tasks.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ EMPTY = 0xFFFF
 DEVIATIONS = 5.0
 #: Longs of a parity sketch.
 PARITY = 16
+#: Members of a group on either side of the comparisons that one key of the join holds.
+BLOCK = 1024
 _rng = np.random.Generator(np.random.PCG64(20250115))
 #: For each bucket the order in which it borrows from the others when it is empty.
 _BORROW = np.stack([np.concatenate([[k], _rng.permutation(np.delete(np.arange(BUCKETS), k))]) for k in range(BUCKETS)])
@@ -192,18 +195,29 @@ def connected(links: DataFrame, name: str) -> DataFrame:
 def _across(placed: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Pairs of one group in different components that could be linked, from (key, node, c)."""
     counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
-    largest = counts.groupBy("key").agg(F.max(F.struct("k", "c"))["c"].alias("main"), F.count(F.lit(1)).alias("parts"))
-    mixed = largest.filter("parts > 1").select("key", "main")
+    per_key = counts.groupBy("key").agg(
+        F.max(F.struct("k", "c"))["c"].alias("main"), F.max("k").alias("inside"), F.sum("k").alias("all"), F.count(F.lit(1)).alias("parts")
+    )
+    cut = lambda n: F.ceil(n / BLOCK).cast("int")
+    mixed = per_key.filter("parts > 1").select("key", "main", cut(F.col("all") - F.col("inside")).alias("x_parts"), cut(F.col("all")).alias("y_parts"))
     bits = nodes.select(F.col("doc_id").alias("node"), "n", *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITY)])
     open_places = written(placed.join(mixed, "key").join(bits, "node"), "near-open")
-    x = open_places.filter("c <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "c", "n", *[f"p{k}" for k in range(PARITY)])])
+    # A member lies in one block of its side and is copied to the blocks of the other: two members meet once.
+    deal = lambda parts: F.pmod(F.xxhash64("node"), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    blocks = lambda df, own, other, mine, theirs: df.withColumn(mine, deal(own)).withColumn(theirs, every(other))
+    kept = ["node", "c", "n", *[f"p{k}" for k in range(PARITY)]]
+    x = blocks(open_places.filter("c <> main"), "x_parts", "y_parts", "x_block", "y_block").select(
+        "key", "x_block", "y_block", *[F.col(c).alias(f"x_{c}") for c in kept]
+    )
     differing = F.lit(0)
     for k in range(PARITY):
         differing = differing + F.bit_count(F.col(f"x_p{k}").bitwiseXOR(F.col(f"p{k}")))
     # Similarity t or more means that the sets differ in at most (1 - t) / (1 + t) of both sizes together.
     allowed = (F.col("x_n") + F.col("n")) * ((1 - threshold) / (1 + threshold)) + 1e-6
-    y = open_places.select(F.col("key").alias("y_key"), "node", "c", "n", *[f"p{k}" for k in range(PARITY)])
-    cond = (F.col("key") == F.col("y_key")) & (F.col("x_c") != F.col("c")) & (differing <= allowed)
+    y = blocks(open_places, "y_parts", "x_parts", "of_y", "of_x").select(F.col("key").alias("y_key"), "of_x", "of_y", *kept)
+    met = (F.col("key") == F.col("y_key")) & (F.col("x_block") == F.col("of_x")) & (F.col("y_block") == F.col("of_y"))
+    cond = met & (F.col("x_c") != F.col("c")) & (differing <= allowed)
     return x.join(y, cond).select(F.col("x_node").alias("a"), F.col("node").alias("b"))
 
 

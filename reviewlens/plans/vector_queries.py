@@ -8,6 +8,7 @@ from reviewlens.functions.numeric import round_half_up
 from reviewlens.operators import clustering as cl
 from reviewlens.operators import grouping as gr
 from reviewlens.operators import marts
+from reviewlens.operators import neighbour_map as nm
 from reviewlens.operators import term_vectors as tv
 from reviewlens.operators import topics as tp
 from reviewlens.operators import vectors as ve
@@ -205,6 +206,20 @@ def tm_reduce(spark, sf):
     )
 
 
+@query("tm_reduce_neighbours", "SELECT vec_id, label, 10 AS n_dims, true AS is_finite, true AS keeps_more FROM embeddings")
+def tm_reduce_neighbours(spark, sf):
+    """Of the 15 nearest rows of every row whose id is divisible by 20, more stay among the 15 nearest than under as many
+    principal components."""
+    path = scratch_path(spark, "neighbour-map")
+    mapped = nm.reduce_by_neighbours(embeddings(spark, sf), "vec_id", 10).withColumnRenamed("reduced", "mapped")
+    unit = F.transform("embedding", lambda v: v / length_of(F.col("embedding")))
+    ve.reduce_dims(mapped, 10).withColumn("unit", unit).write.parquet(path)
+    rows = spark.read.parquet(path)
+    kept = lambda vec: nm.kept_neighbours(rows, "vec_id", "unit", vec, 15, F.col("vec_id") % KNN_EVERY == 0).scalar()
+    finite = F.forall("mapped", lambda v: F.abs(v) < float("inf"))
+    return rows.select("vec_id", "label", F.size("mapped").alias("n_dims"), finite.alias("is_finite"), (kept("mapped") > kept("reduced")).alias("keeps_more"))
+
+
 V_CENT = ("v_cent", centroid_sql("v_vec", "label"))
 
 

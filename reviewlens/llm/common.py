@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -86,18 +87,31 @@ def bounded_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def hand_back() -> None:
+    """Give the memory that a task has freed back to the system. Python workers live on from stage to stage, and what each
+    stage has freed would otherwise stay with them, beside what the next one needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, max_bytes: int = 8 << 20) -> DataFrame:
     """Apply a function to Arrow batches, cut so that the texts of one call stay near ``max_bytes`` (one row at least)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            start = 0
-            while start < batch.num_rows:
-                rows = batch.num_rows - start
-                while rows > 1 and batch.slice(start, rows).nbytes > max_bytes:
-                    rows = (rows + 1) // 2
-                yield fn(batch.slice(start, rows))
-                start += rows
+        try:
+            for batch in batches:
+                start = 0
+                while start < batch.num_rows:
+                    rows = batch.num_rows - start
+                    while rows > 1 and batch.slice(start, rows).nbytes > max_bytes:
+                        rows = (rows + 1) // 2
+                    yield fn(batch.slice(start, rows))
+                    start += rows
+            batch = None
+        finally:
+            hand_back()
 
     bounded_batches(df.sparkSession)
     return df.mapInArrow(run, schema)

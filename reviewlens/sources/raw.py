@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from reviewlens.session import clear_scratch, scratch_path
+from reviewlens.session import scratch_path
 from reviewlens.sources import json_ranges
 
 # <source>/<product>_<yyyymmdd_hhmmss>.json, or the same three as partition folders.
@@ -70,10 +70,9 @@ def _files_by_range(spark: SparkSession, paths: str | list[str], above: int) ->
     cut = json_ranges.pieces(spark, paths, above)
     if cut.isEmpty():
         return spark.createDataFrame([], "file_path string, items array<variant>, reject_reason string")
-    pieces, path = scratch_path(spark, "json-pieces"), scratch_path(spark, "json-chunks")
-    json_ranges.located(cut).write.parquet(pieces)
-    json_ranges.chunks(spark.read.parquet(pieces)).write.parquet(path)
-    clear_scratch(spark, [pieces])
+    path = scratch_path(spark, "json-chunks")
+    # One plan: pieces are located and numbered where the first shuffle has put them, and only what a range sums up to is computed apart.
+    json_ranges.chunks(json_ranges.located(cut)).write.option("compression", "zstd").parquet(path)
     parts = spark.read.parquet(path)
     bad = parts.filter("reason IS NOT NULL").groupBy("file_path").agg(F.max("reason").alias("reject_reason"))
     good = parts.join(bad, "file_path", "left_anti").select("file_path", "items", F.lit(None).cast("string").alias("reject_reason"))

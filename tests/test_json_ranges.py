@@ -82,3 +82,16 @@ def test_a_large_file_is_many_tasks(spark, tmp_path):
         assert raw.read_raw(spark, str(tmp_path), split_above=1000)[0].selectExpr("count(DISTINCT variant_get(item, '$.id', 'int'))").first()[0] == 5000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_pieces_are_not_written_before_they_are_joined(spark, tmp_path):
+    """Only the chunks reach the scratch folder; the pieces used to be written, too."""
+    from reviewlens.session import scratch_paths
+
+    land(tmp_path, {"raw": FILES["raw"]})
+    before = set(scratch_paths(spark))
+    assert raw.read_files(spark, str(tmp_path), split_above=10).count() > 1
+    with_pieces = [p for p in scratch_paths(spark) if p not in before]
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in with_pieces] == ["json-chunks"]
+    planned = raw.json_ranges.chunks(raw.json_ranges.located(raw.json_ranges.pieces(spark, str(tmp_path), 10)))
+    assert planned.count() == spark.read.parquet(with_pieces[0]).count()

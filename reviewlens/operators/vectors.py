@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlens.operators.dedup import keep_top
-from reviewlens.operators.explode import to_rows
 from reviewlens.operators.lookup import join_small
 from reviewlens.operators.topics import with_terms
-from reviewlens.session import ensure_checkpoint_dir
+from reviewlens.session import ensure_checkpoint_dir, scratch_path
 
 # Centroid tables up to this many rows travel to the tasks as one matrix; larger ones go in blocks of this size.
 CENTROID_BLOCK = 4096
@@ -28,19 +27,28 @@ CENTROID_BLOCK = 4096
 Embedder = Callable[[pd.Series], np.ndarray]
 
 
+def _hashed(dim: int) -> HashingTF:
+    return HashingTF(inputCol="__terms", outputCol="__tf", numFeatures=dim)
+
+
+def _weighing() -> list:
+    return [IDF(inputCol="__tf", outputCol="__idf"), Normalizer(inputCol="__idf", outputCol="__vec")]
+
+
+def _encoder_terms(docs: DataFrame, stop: list[str]) -> DataFrame:
+    """Add ``__terms``; a null text has none."""
+    return with_terms(docs, stop, "__terms").withColumn("__terms", F.coalesce("__terms", F.array().cast("array<string>")))
+
+
 def fit_embedding(docs: DataFrame, stop: list[str], dim: int = 256, text: str = "text") -> PipelineModel:
     """The default document encoder: hashed terms, inverse document frequency, unit length. No vocabulary is kept."""
-    stages = [
-        HashingTF(inputCol="__terms", outputCol="__tf", numFeatures=dim),
-        IDF(inputCol="__tf", outputCol="__idf"),
-        Normalizer(inputCol="__idf", outputCol="__vec"),
-    ]
-    return Pipeline(stages=stages).fit(with_terms(docs.select(F.col(text).alias("text")), stop, "__terms").select("__terms"))
+    stages = [_hashed(dim), *_weighing()]
+    return Pipeline(stages=stages).fit(_encoder_terms(docs.select(F.col(text).alias("text")), stop).select("__terms"))
 
 
 def embed(docs: DataFrame, model: PipelineModel, stop: list[str], text: str = "text") -> DataFrame:
     """Add ``embedding`` with a fitted default encoder."""
-    encoded = model.transform(with_terms(docs.withColumn("text", F.col(text)), stop, "__terms"))
+    encoded = model.transform(_encoder_terms(docs.withColumn("text", F.col(text)), stop))
     return encoded.withColumn("embedding", vector_to_array("__vec", "float32")).drop("__terms", "__tf", "__idf", "__vec")
 
 
@@ -291,19 +299,78 @@ def merge_topics(centroids: DataFrame, max_topics: int, keys: list[str] | None =
         ).checkpoint()
 
 
+def encode_with_candidates(docs: DataFrame, candidates: DataFrame, stop: list[str], dim: int = 256) -> DataFrame:
+    """Documents with ``embedding`` by the default encoder, fitted on all of them, and ``terms``: those of their topic's candidates
+    that they use.
+
+    ``docs``: doc id, text, topic_id. Each text is split into terms once; the hashed counts, a few hundred bytes a document, are
+    written to the shared folder, and the encoder is fitted on them.
+    """
+    path = scratch_path(docs.sparkSession, "hashed-terms")
+    split = _used(_encoder_terms(docs, stop), "__terms", candidates)
+    _hashed(dim).transform(split).drop("__terms", "text").write.parquet(path)
+    counted = docs.sparkSession.read.parquet(path)
+    if counted.isEmpty():
+        return counted.withColumn("embedding", F.lit(None).cast("array<float>")).drop("__tf")
+    encoded = Pipeline(stages=_weighing()).fit(counted).transform(counted)
+    return encoded.withColumn("embedding", vector_to_array("__vec", "float32")).drop("__tf", "__idf", "__vec")
+
+
+def _used(docs: DataFrame, every: str, candidates: DataFrame) -> DataFrame:
+    """Add ``terms``: the candidates of a document's topic among the terms in column ``every``."""
+    lists = candidates.groupBy("topic_id").agg(F.collect_set("term").alias("__wanted"))
+    found = join_small(docs, lists, ["topic_id"], "left")
+    none = F.array().cast("array<string>")
+    return found.withColumn("terms", F.coalesce(F.array_intersect(every, "__wanted"), none)).drop("__wanted")
+
+
+#: Sums of so many (topic, term) pairs are held by a task; beyond them they are handed on and added up again behind the shuffle.
+HELD_SUMS = 4096
+
+
+def _term_means(docs: DataFrame) -> DataFrame:
+    """(topic_id, term, term_vector): the mean vector of the topic's documents with the term in ``terms``. A task adds up its
+    documents, so neither a vector is copied for each term nor a row of them sorted."""
+    schema = T.StructType([docs.schema["topic_id"], T.StructField("term", T.StringType()), T.StructField("s", T.ArrayType(T.DoubleType())), T.StructField("n", T.LongType())])
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, list] = {}
+
+        def held() -> pd.DataFrame:
+            rows = [(topic, term, s, n) for (topic, term), (s, n) in sums.items()]
+            return pd.DataFrame(rows, columns=schema.names)
+
+        for pdf in frames:
+            x = np.stack(pdf["embedding"].to_numpy())
+            at: dict[tuple, list] = {}
+            for row, (topic, terms) in enumerate(zip(pdf["topic_id"], pdf["terms"])):
+                for term in terms:
+                    at.setdefault((topic, term), []).append(row)
+            for pair, rows in at.items():
+                one = sums.setdefault(pair, [0.0, 0])
+                one[0], one[1] = one[0] + x[rows].sum(axis=0, dtype="float64"), one[1] + len(rows)
+            if len(sums) > HELD_SUMS:
+                yield held()
+                sums.clear()
+        if sums:
+            yield held()
+
+    parts = docs.filter(F.size("terms") > 0).select("topic_id", "terms", "embedding").mapInPandas(add, schema)
+    scaled = parts.withColumn("m", array_to_vector(F.transform("s", lambda v: v / F.col("n"))))
+    mean = Summarizer.mean(F.col("m"), F.col("n").cast("double"))
+    return scaled.groupBy("topic_id", "term").agg(vector_to_array(mean).alias("term_vector"))
+
+
 def keyphrases(docs: DataFrame, candidates: DataFrame, stop: list[str], n: int = 10) -> DataFrame:
     """Re-rank candidate terms of each topic by how close the mean vector of the documents using them is to its centroid.
 
-    ``docs``: doc id, text, embedding, topic_id. ``candidates``: topic_id, term (a short list per topic).
+    ``docs``: doc id, text, embedding, topic_id; or ``terms`` of ``encode_with_candidates`` instead of the text.
+    ``candidates``: topic_id, term (a short list per topic).
     """
     centroids = mean_vectors(docs, ["topic_id"]).select("topic_id", "centroid")
-    terms = with_terms(docs.select("topic_id", "embedding", "text"), stop)
-    # The candidates of a topic are a short list: documents keep only those of their terms, and the vector is copied for these.
-    lists = candidates.groupBy("topic_id").agg(F.collect_set("term").alias("__wanted"))
-    once = join_small(terms, lists, ["topic_id"], "inner").withColumn("terms", F.array_intersect("terms", "__wanted"))
-    wanted = to_rows(once.filter(F.size("terms") > 0), "terms", ["topic_id", "embedding"], "term")
-    means = mean_vectors(wanted, ["topic_id", "term"], out="term_vector").drop("n_vectors")
-    pair = join_small(means, centroids, ["topic_id"], "inner")
+    if "terms" not in docs.columns:
+        docs = _used(with_terms(docs.select("topic_id", "embedding", "text"), stop, "__terms"), "__terms", candidates)
+    pair = join_small(_term_means(docs), centroids, ["topic_id"], "inner")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
     lengths = F.sqrt(dot("term_vector", "term_vector") * dot("centroid", "centroid"))
     cosine = F.coalesce(F.try_divide(dot("term_vector", "centroid"), lengths), F.lit(0.0))  # a vector of zeros is like none

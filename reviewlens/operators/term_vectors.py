@@ -21,8 +21,9 @@ from reviewlens.functions import text as tx
 from reviewlens.session import scratch_path
 
 TERMS, CONTEXTS, WINDOW = 1 << 14, 128, 4
-#: Words of a text go to Python in pieces of this many, and whole pieces in slices of a few million words.
-PIECE, SLICE = 4096, 2_000_000
+#: Words of a text go to Python in pieces of this many, and whole pieces are counted in slices of so many words. A slice takes
+#: about 100 bytes a word at a time, in each of an executor's workers.
+PIECE, SLICE = 4096, 100_000
 
 
 @dataclass
@@ -91,12 +92,10 @@ def cooccurrence(docs: DataFrame, stop: list[str], terms: int = TERMS, contexts:
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 # The words beyond a piece are there as second words only: the next piece starts with them.
                 first = np.concatenate([np.arange(n) < PIECE for n in sizes])
-                cells = []
                 for d in range(1, window + 1):
                     ok = (owner[:-d] == owner[d:]) & first[:-d]
-                    cells += [t[:-d][ok] * contexts + c[d:][ok], t[d:][ok] * contexts + c[:-d][ok]]
-                cell, n = np.unique(np.concatenate(cells), return_counts=True)
-                total[cell] += n
+                    np.add.at(total, t[:-d][ok] * contexts + c[d:][ok], 1)
+                    np.add.at(total, t[d:][ok] * contexts + c[:-d][ok], 1)
         there = np.flatnonzero(total)
         for start in range(0, len(there), 100_000):
             cell = there[start : start + 100_000]

@@ -1,8 +1,10 @@
 """Term vectors against a numpy factorisation, planted synonyms, and odd texts."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from reviewlens.operators import term_vectors as tv
@@ -76,3 +78,20 @@ def test_tables_without_pairs(spark):
         model = tv.fit(docs, [], dim=4, terms=16, contexts=8)
         assert not model.matrix.any()
         assert all(list(r.embedding) == [0.0] * 4 for r in tv.embed(docs, model).collect())
+
+
+def test_memory_of_a_task_does_not_follow_its_batches(spark, monkeypatch):
+    """A task's memory beyond its table of counts and its batch stays the same, whether a batch holds few words or many."""
+    caught = []
+    docs = frame(spark, ["a"])
+    monkeypatch.setattr(type(docs), "mapInPandas", lambda self, fn, schema: caught.append(fn) or self.selectExpr("1L AS cell", "1L AS n"))
+    tv.cooccurrence(docs, [])
+    rng, peaks = np.random.default_rng(1), []
+    for rows in (100, 1000, 5000):
+        batch = pd.DataFrame({"h": list(rng.integers(-(2**62), 2**62, (rows, 400)))})
+        tracemalloc.start()
+        found = sum(int(pdf["n"].sum()) for pdf in caught[0](iter([batch])))
+        peaks.append(tracemalloc.get_traced_memory()[1] / 2**20)
+        tracemalloc.stop()
+        assert found == rows * 2 * (4 * 400 - 10)
+    assert max(peaks) < 80, peaks

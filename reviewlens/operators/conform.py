@@ -17,10 +17,13 @@ def products(spark: SparkSession) -> DataFrame:
 
 
 def with_reject_reason(raw: DataFrame, text: str = "item_json") -> DataFrame:
-    """Parse the raw text and say why a row cannot be normalised; null means it can."""
-    item = F.try_parse_json(F.col(text))
+    """Parse the raw text and say why a row cannot be normalised; null means it can.
+
+    The item comes out of an array of one, as a filter on it would else be moved below the parser and parse again.
+    """
+    parsed = raw.withColumn("item", F.array(F.try_parse_json(F.col(text))))
     known = F.col("source_actor").isin(*cfg.LAYOUTS)
-    return raw.withColumn("item", item).withColumn(
+    return parsed.withColumn("item", F.explode_outer("item")).withColumn(
         "reject_reason",
         F.when(F.col("item").isNull(), "bad_json")
         .when(~F.startswith(F.schema_of_variant(F.col("item")), F.lit("OBJECT")), "not_object")

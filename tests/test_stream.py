@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.operators import conform
@@ -35,6 +36,43 @@ def test_ingest_keeps_the_first_copy(spark, tmp_path):
     assert [(r.scraped_at, r.reject_reason) for r in spark.read.parquet(out + "_rejects").collect()] == [(first, "not_object")]
 
 
+def test_ingest_ranks_and_remembers_in_one_shuffle_without_python(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "a.json", [("2024-06-01T00:00:00.123456+00:00", {"reviewId": "1"}), ("2024-06-01T00:00:00.123457+00:00", {"reviewId": "1"})])
+    query = jobs.run_ingest(spark, str(landing), conform.products(spark), str(tmp_path / "out"), str(tmp_path / "ck"))
+    plan = query._jsq.explainInternal(False)
+    assert "StreamingDeduplicate" in plan and "Python" not in plan and "Pandas" not in plan
+    assert plan.count("Exchange hashpartitioning(review_id") == 1 and plan.count("parseJson") == 1
+    assert spark.conf.get("spark.sql.streaming.unsupportedOperationCheck") == "true"
+    assert [r.scraped_ts.microsecond for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [123456]
+
+
+def test_an_ingest_that_ends_midway(spark, tmp_path, monkeypatch):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    run = lambda: jobs.run_ingest(spark, str(landing), conform.products(spark), out, str(tmp_path / "ck"))
+    first, later = "2024-06-01T00:00:00+00:00", "2024-06-08T00:00:00+00:00"
+    land(landing, "a.json", [(later, {"reviewId": "1"}), (first, {"reviewId": "2"}), (first, {"reviewId": "1"})])
+    write = jobs._append_batches
+
+    def broken(target):
+        def both(batch, batch_id):
+            write(target)(batch, batch_id)
+            if target == out:
+                raise RuntimeError("ended")
+
+        return both
+
+    monkeypatch.setattr(jobs, "_append_batches", broken)
+    with pytest.raises(Exception, match="ended"):
+        run()
+    monkeypatch.undo()
+    assert spark.conf.get("spark.sql.streaming.unsupportedOperationCheck") == "true"
+    land(landing, "b.json", [(first, {"reviewId": "2", "overallRating": 5}), (later, {"reviewId": "3"})])
+    run()
+    got = sorted((r.review_id, r.scraped_at, r.overall_rating) for r in spark.read.parquet(out).collect())
+    assert got == [("1", first, None), ("2", first, None), ("3", later, None)]
+
+
 def test_compaction_keeps_the_latest_rows(spark, tmp_path):
     out, small = str(tmp_path / "changes"), str(tmp_path / "compacted")
     for n, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)]]):
